@@ -95,16 +95,14 @@ def vocab_sink(spark, d):
     return tables.read_vocabulary(spark, path)
 
 
-def insert_script_import(spark, d):
-    path = shared_dir(spark, "script")
-    scripts.write_script(_enriched(spark, d), path)
-    return scripts.read_script(spark, path)
-
+def _script_round_trip(variant, with_level):
+    def run(spark, d):
+        stored, path = shared_dir(spark, "enriched"), shared_dir(spark, "script")
+        _enriched(spark, d, variant).write.parquet(stored)
+        scripts.write_script(spark.read.parquet(stored), path, with_level)
+        return scripts.read_script(spark, path, with_level)
 
-def insert_script_import_first(spark, d):
-    path = shared_dir(spark, "script")
-    scripts.write_script(_enriched(spark, d, FIRST), path, with_level=False)
-    return scripts.read_script(spark, path, with_level=False)
+    return run
 
 
 def markings_import(spark, d):
@@ -237,8 +235,8 @@ def queries() -> dict[str, _Query]:
         "schedule_dim": schedule_dim,
         "vocab_sink": vocab_sink,
         "insert_script_export": lambda s, d: scripts.insert_tuples(_enriched(s, d)),
-        "insert_script_import": insert_script_import,
-        "insert_script_import_first": insert_script_import_first,
+        "insert_script_import": _script_round_trip(CURRENT, True),
+        "insert_script_import_first": _script_round_trip(FIRST, False),
         "markings_export": lambda s, d: tables.markings_export(mk(s, d), u),
         "markings_import": markings_import,
         "anki_export": anki_export,

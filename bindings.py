@@ -136,7 +136,7 @@ def sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = d.withColumn("mark", F.expr(f"element_at(array({marks}), cast(n_chars % {len(MARKS)} + 1 as int))"))
     week, day = (n % 13).cast("string"), (n % 8).cast("string")
     whole = F.concat(
-        F.lit("　"), F.col("h.early"), F.lit("、"), F.translate("text", "\n", " "), F.col("h.late"), F.lit("と言う。 ")
+        F.lit("　"), F.col("h.early"), F.lit("、"), F.replace("text", F.lit("\n"), F.lit(" ")), F.col("h.late"), F.lit("と言う。 ")
     )
     return d.select(
         F.when(lang == "en", "N1").when(lang == "fr", "N2").otherwise("N3").alias("level"),

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexitrack.functions.conjugation import CURRENT, HEADWORD_MARKS, PARTICLES, Variant, rules
-from lexitrack.functions.text import let, remove_chars, strip
+from lexitrack.functions.text import let, literal_pattern, remove_chars, strip
 
 _CANDIDATES = "array<struct<form:string,display:string>>"
 
@@ -116,12 +116,12 @@ def split_sentence(word: Column, sentence: Column, variant: Variant = CURRENT, f
         return let(F.array_max(ranked), lambda best: cut(s, best))
 
     def cut(s: Column, best: Column) -> Column:
-        at = F.position(best["form"], s)
-        return F.when(best.isNotNull(), F.struct(
-            F.left(s, at - 1).alias("before"),
+        # Splitting once at the quoted form finds both halves in one pass over the sentence.
+        halves = F.split(s, literal_pattern(best["form"]), 2)
+        return F.when(best.isNotNull(), let(halves, lambda h: F.struct(
+            F.get(h, F.lit(0)).alias("before"),
             best["form"].alias("matched"),
-            F.concat(best["display"], F.substr(s, at + F.length(best["form"]))).alias("after"),
-        ))
+            F.concat(best["display"], F.get(h, F.lit(1))).alias("after"),
+        )))
 
-    both = let(word, lambda w: let(sentence, lambda s: pick(w, s)))
-    return F.when((word != "") & (sentence != ""), both)
+    return let(word, lambda w: let(sentence, lambda s: pick(w, s)))

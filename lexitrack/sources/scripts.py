@@ -59,23 +59,30 @@ def insert_tuples(words: DataFrame, with_level: bool = True) -> DataFrame:
 def write_script(words: DataFrame, path: str, with_level: bool = True) -> None:
     """Write a script folder; its part files, read in name order, are one runnable script.
 
-    Words stand in (level, ref_no) order, made by a range-partitioned sort. Words that share both stand in
-    the order of their text.
+    Words stand in (level, ref_no) order, which names a word; copies of one stand in the order of a row hash.
+    The rows are range-partitioned as stored and turned into text behind the sort. ``words`` is read more than
+    once (last key, range bounds, rows), so pass a stored table rather than a long plan.
     """
-    tuples = insert_tuples(words, with_level).withColumn("step", F.lit(1))
-    order = ["level", "ref_no", "tuple"]
-    key = F.struct(*[F.coalesce(F.col(c), d) for c, d in zip(order, (F.lit(""), F.lit(0), F.lit("")))])
-    # One row; every tuple but the last is followed by a comma.
-    last = tuples.agg(F.max(key).alias("last")).scalar()
-    body = tuples.withColumn("text", F.concat("tuple", F.when(key == last, "").otherwise(",")))
     columns = ", ".join([f for f in FIELDS if with_level or f != "level"]).replace(" schedule,", " schedule_id,")
-    spark = words.sparkSession
-    frame = spark.range(1).select(F.explode(F.array(
-        F.struct(F.lit(0).alias("step"), F.lit(_HEAD.format(columns=columns)).alias("text")),
-        F.struct(F.lit(2).alias("step"), F.lit(_TAIL).alias("text")),
+    keyed = words.select(
+        F.lit(1).alias("step"),
+        F.struct(
+            F.coalesce("level", F.lit("")).alias("level"),
+            F.coalesce("ref_no", F.lit(0)).alias("ref_no"),
+            F.xxhash64("kanji", "hiragana", "meaning_en", "hint", "full_sentence").alias("copy"),
+        ).alias("key"),
+        F.lit(None).cast("string").alias("frame"),
+        *[c for c in words.columns if c in (*FIELDS, "week", "day")],
+    )
+    # One row. Every tuple but the last is followed by a comma.
+    last = keyed.agg(F.max("key").alias("last")).scalar()
+    frame = words.sparkSession.range(1).select(F.explode(F.array(
+        F.struct(F.lit(0).alias("step"), F.lit(_HEAD.format(columns=columns)).alias("frame")),
+        F.struct(F.lit(2).alias("step"), F.lit(_TAIL).alias("frame")),
     )).alias("f")).select("f.*")
-    whole = body.select("step", "text", *order).unionByName(frame, allowMissingColumns=True)
-    whole.orderBy("step", *order).select("text").write.text(path)
+    ordered = keyed.unionByName(frame, allowMissingColumns=True).orderBy("step", "key")
+    comma = F.when(F.col("key") == last, "").otherwise(",")
+    ordered.select(F.coalesce("frame", F.concat(insert_tuple(with_level), comma))).write.text(path)
 
 
 def _tokens(record: Column) -> Column:
