@@ -132,6 +132,17 @@ def upsert_into_table(spark, d):
     return tables.read_markings(spark, path)
 
 
+def reset_in_table(spark, d):
+    """One learner's level removed from the stored markings."""
+    path = shared_dir(spark, "marking-table")
+    words = b.words(spark, d)
+    tables.write_markings(b.markings(spark, d), path, buckets=8)
+    tables.rewrite_user(
+        spark, path, b.USER, lambda rows: maintain.reset_level(rows, words, b.USER, "N1"), buckets=8
+    )
+    return tables.read_markings(spark, path)
+
+
 # Ingest ---------------------------------------------------------------------------------------------------------
 
 def _split(variant):
@@ -349,6 +360,7 @@ def queries() -> dict[str, _Query]:
         "bulk_mark_week": lambda s, d: maintain.bulk_mark_week(
             mk(s, d), w(s, d), sched(s, d), u, "N1", 1, 1, b.AS_OF_MARKINGS),
         "reset_level": lambda s, d: maintain.reset_level(mk(s, d), w(s, d), u, "N1"),
+        "reset_in_table": reset_in_table,
         "set_flag": lambda s, d: maintain.set_flag(
             maintain.set_flag(sw(s, d), "red bolt", True), "blue rod", False).select("id", "kanji", "is_marked"),
         "set_flags": lambda s, d: maintain.set_flags(sw(s, d), pg(s, d).join(

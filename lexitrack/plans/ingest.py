@@ -41,12 +41,14 @@ def examples(rows: DataFrame, variant: Variant = CURRENT) -> DataFrame:
     a sentence has no example.
     """
     forms = F.col("forms") if "forms" in rows.columns else None
-    rows = rows.withColumn(_SPLIT, split_sentence(F.col("Kanji"), F.col("Sentence"), variant, forms))
+    has_sentence = strip(F.col("Sentence")) != ""
+    split = split_sentence(F.col("Kanji"), F.col("Sentence"), variant, forms)
+    rows = rows.withColumn(_SPLIT, F.when(has_sentence, split))
 
     def half(part: str, supporting: str) -> Column:
         return (
             F.when(F.col(_SPLIT).isNotNull(), blank_to_null(F.col(f"{_SPLIT}.{part}")))
-            .when(strip(F.col("Sentence")) != "", F.col(f"`{supporting}`"))
+            .when(has_sentence, F.col(f"`{supporting}`"))
         )
 
     return (

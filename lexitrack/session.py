@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,11 @@ def local_session(cores: str = "8", app: str = "lexitrack") -> SparkSession:
     return spark
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="lexitrack-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared location the cluster names in ``spark.checkpoint.dir``.
 
@@ -34,6 +40,5 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="lexitrack-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_dir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

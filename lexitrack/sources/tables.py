@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from lexitrack.functions.text import example_text
 from lexitrack.operators.maintain import upsert_markings
 from lexitrack.schema import MARKINGS_CSV
+from lexitrack.session import shared_dir
 
 BUCKETS = 256
 
@@ -70,6 +73,21 @@ def upsert_into(spark: SparkSession, path: str, incoming: DataFrame, buckets: in
     )
 
 
+def rewrite_user(
+    spark: SparkSession, path: str, user_id: str, change: Callable[[DataFrame], DataFrame], buckets: int = BUCKETS
+) -> None:
+    """Replace the folder that holds one user's rows by ``change`` of its rows, which may leave none.
+
+    The new rows are written beside the table first, so the folder is never read while it is replaced and a job
+    that fails halfway can be finished from the written rows.
+    """
+    bucket = spark.range(1).select(user_bucket(F.lit(user_id), buckets)).first()[0]
+    staged = shared_dir(spark, "rewrite")
+    rows = spark.read.parquet(path).filter(F.col("bucket") == bucket).drop("bucket")
+    change(rows).write.parquet(staged)
+    spark.read.parquet(staged).write.mode("overwrite").parquet(f"{path}/bucket={bucket}")
+
+
 # Exports. A global sort writes part files whose names follow the order of the rows.
 
 def markings_export(markings: DataFrame, user_id: str) -> DataFrame:

@@ -376,6 +376,7 @@ FROM markings m LEFT JOIN (SELECT user_id, word_id, min(id) AS id FROM log WHERE
 SELECT * FROM markings WHERE user_id <> '{U}' OR word_id NOT IN (SELECT id FROM w)
 UNION ALL SELECT m.id, '{U}', w.id, 1, TIMESTAMP '{b.AS_OF_MARKINGS}' FROM w LEFT JOIN {own} m ON m.word_id = w.id""",
         "reset_level": _with(WORDS, MARKINGS) + f"SELECT * FROM markings WHERE NOT (user_id = '{U}' AND word_id IN (SELECT id FROM words WHERE level = 'N1'))",
+        "reset_in_table": _with(WORDS, MARKINGS) + f"SELECT * FROM markings WHERE NOT (user_id = '{U}' AND word_id IN (SELECT id FROM words WHERE level = 'N1'))",
         "set_flag": _with(STUDY) + "SELECT id, kanji, CASE kanji WHEN 'red bolt' THEN TRUE WHEN 'blue rod' THEN FALSE ELSE is_marked END AS is_marked FROM study",
         "set_flags": _with(STUDY, PROGRESS) + """SELECT s.id, s.kanji, coalesce(c.marked, s.is_marked) AS is_marked FROM study s LEFT JOIN (
   SELECT kanji, result = 'incorrect' AS marked,
