@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import bindings as b
-import oracle
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from lexitrack.functions import text
 from lexitrack.functions.conjugation import CURRENT, FIRST, INTERIM
 from lexitrack.functions.enrich import difficulty, lecture_day, lecture_week, word_type
@@ -19,6 +23,8 @@ from lexitrack.plans.markings import import_markings
 from lexitrack.schema import MAX_LENGTHS, NOT_NULL
 from lexitrack.session import shared_dir
 from lexitrack.sources import calendar, scripts, sheets, tables
+from lexitrack.testbed import bindings as b
+from lexitrack.testbed import oracle
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 SEED = 7
@@ -226,6 +232,15 @@ def string_functions(spark, d):
     )
 
 
+def _quiz(direction):
+    """Cards of all words that were answered wrong."""
+    def run(spark, d):
+        wrong = b.progress(spark, d).filter(F.col("result") == "incorrect")
+        return lookup.quiz_cards(b.words(spark, d), direction, wrong.select(F.col("vocabulary_id").alias("id")))
+
+    return run
+
+
 # Registry -------------------------------------------------------------------------------------------------------
 
 _Query = Callable[[SparkSession, str], DataFrame]
@@ -267,11 +282,9 @@ def queries() -> dict[str, _Query]:
         "search_reading": lambda s, d: lookup.search_reading(w(s, d), "#2").select("id", *_WORD),
         "search_reading_or_kanji": lambda s, d: lookup.search_reading(w(s, d), "#1", or_kanji="bolt").select("id", *_WORD),
         "search_meaning": lambda s, d: lookup.search_meaning(w(s, d), "eco", "Ring").select("id", *_WORD),
-        **{
-            f"point_lookup_{direction}": lambda s, d, way=direction: lookup.quiz_cards(
-                w(s, d), way, pg(s, d).filter(F.col("result") == "incorrect").select(F.col("vocabulary_id").alias("id")))
-            for direction in lookup.QUIZ
-        },
+        "point_lookup": _quiz("kanji_to_reading"),
+        "point_lookup_reading": _quiz("reading_to_kanji"),
+        "point_lookup_meaning": _quiz("meaning_to_word"),
         "due_interval": lambda s, d: lookup.due_markings(mk(s, d), b.AS_OF_MARKINGS),
         "literal_column": lambda s, d: lookup.row_count(w(s, d), "Vocabulary entries:"),
         # joins

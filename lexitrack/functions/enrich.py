@@ -5,18 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lexitrack.functions.text import remove_chars
+from lexitrack.functions.text import narrow_digits, remove_chars
 
 _LECTURE = r"(?U)^(\d+)週(\d+)日"
-_WIDE_DIGITS = "０１２３４５６７８９"
 _MARKS = "＊*+（）()"
 # Endings that make an unmarked word a verb.
 _VERB_ENDINGS = ("る", "す", "く", "ぐ", "む", "ぶ", "つ", "う")
 
 
 def _lecture_part(lecture: Column, group: int) -> Column:
-    digits = F.regexp_extract(lecture, _LECTURE, group)
-    return F.translate(digits, _WIDE_DIGITS, "0123456789").try_cast("int")
+    return narrow_digits(F.regexp_extract(lecture, _LECTURE, group)).try_cast("int")
 
 
 def lecture_week(lecture: Column) -> Column:

@@ -24,7 +24,8 @@ NA_TEXTS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+_WIDE_DIGITS = "０１２３４５６７８９"
 
 
 def strip(c: Column) -> Column:
@@ -32,6 +33,11 @@ def strip(c: Column) -> Column:
     return F.trim(c, F.lit(WHITESPACE))
 
 
+def narrow_digits(c: Column) -> Column:
+    """Full-width digits as ASCII digits."""
+    return F.translate(c, _WIDE_DIGITS, "0123456789")
+
+
 def remove_chars(c: Column, chars: str) -> Column:
     return F.translate(c, chars, "")
 
@@ -46,7 +52,7 @@ def na_to_null(c: Column) -> Column:
 
 def to_int(c: Column) -> Column:
     """Truncating text -> int, NULL where the text is no number ('12.7' -> 12)."""
-    text = c.cast("string")
+    text = narrow_digits(strip(c.cast("string")))
     return F.when(text.rlike(_NUMBER), text.try_cast("double").try_cast("int"))
 
 

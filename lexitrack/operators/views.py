@@ -93,6 +93,21 @@ def study_summary(words: DataFrame, schedule: DataFrame, week: int | None = None
     )
 
 
+def register_tables(
+    spark: SparkSession,
+    words: DataFrame,
+    schedule: DataFrame,
+    markings: DataFrame | None = None,
+    progress: DataFrame | None = None,
+) -> None:
+    """Tables and views under their SQL names, for queries written as SQL text."""
+    named = {"vocabulary": words, "schedule": schedule, "user_markings": markings, "study_progress": progress}
+    for name, rows in named.items():
+        if rows is not None:
+            rows.createOrReplaceTempView(name)
+    register_views(spark, words, schedule)
+
+
 def register_views(spark: SparkSession, words: DataFrame, schedule: DataFrame) -> None:
     """Temp views for SQL users. The review summary exists only where words carry review state."""
     vocabulary_full(words, schedule).createOrReplaceTempView("v_vocabulary_full")

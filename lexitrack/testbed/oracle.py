@@ -6,7 +6,7 @@ both sides reach the result by different ways. Rule tables come from the same fi
 
 from __future__ import annotations
 
-import bindings as b
+from lexitrack.testbed import bindings as b
 from lexitrack.functions.conjugation import CURRENT, FIRST, INTERIM, PARTICLES, Variant, rules
 from lexitrack.schema import DIFFICULTY_LABELS, MARKING_COLUMNS, MARKING_LABELS
 
@@ -264,9 +264,9 @@ UNION ALL SELECT 'week', CAST(s.week AS VARCHAR), count(v.id) FROM schedule s LE
         "search_reading": _with(WORDS) + "SELECT id, level, kanji, hiragana, meaning_en FROM words WHERE hiragana LIKE '%#2%'",
         "search_reading_or_kanji": _with(WORDS) + "SELECT id, level, kanji, hiragana, meaning_en FROM words WHERE kanji LIKE '%bolt%' OR hiragana LIKE '%#1%'",
         "search_meaning": _with(WORDS) + "SELECT id, level, kanji, hiragana, meaning_en FROM words WHERE meaning_en ILIKE '%eco%' OR meaning_en ILIKE '%Ring%'",
-        "point_lookup_kanji_to_reading": _quiz("kanji, meaning_en", "hiragana"),
-        "point_lookup_reading_to_kanji": _quiz("hiragana, meaning_en", "kanji"),
-        "point_lookup_meaning_to_word": _quiz("meaning_en", "kanji, hiragana"),
+        "point_lookup": _quiz("kanji, meaning_en", "hiragana"),
+        "point_lookup_reading": _quiz("hiragana, meaning_en", "kanji"),
+        "point_lookup_meaning": _quiz("meaning_en", "kanji, hiragana"),
         "due_interval": _with(MARKINGS) + f"SELECT * FROM markings WHERE {due}",
         "literal_column": _with(WORDS) + "SELECT 'Vocabulary entries:' AS info, count(*) AS count FROM words",
         "words_by_week": _with(WORDS, SCHEDULE) + f"""SELECT kanji, hiragana, meaning_en, {_EXAMPLE} AS example, week_day_label

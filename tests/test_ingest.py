@@ -111,7 +111,7 @@ def test_schedule(spark):
 
 
 @pytest.mark.parametrize("value, want", [
-    ("12", 12), ("12.7", 12), ("-3.9", -3), (" 4 ", 4), ("1e2", 100), (".5", 0), ("x", None), ("12d", None), ("inf", None),
+    ("12", 12), ("12.7", 12), ("-3.9", -3), (" 4 ", 4), ("1e2", 100), (".5", 0), ("１２", 12), ("　7 ", 7), ("x", None), ("12d", None), ("inf", None),
     ("nan", None), ("99999999999", None), ("", None), (None, None),
 ])
 def test_to_int(spark, value, want):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as e
-import bindings as b
+from lexitrack.testbed import bindings as b
 from lexitrack.operators import lookup, maintain, quality, study, views
 from lexitrack.plans import ingest
 from lexitrack.sources import tables
