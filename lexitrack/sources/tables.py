@@ -56,15 +56,22 @@ def read_markings(spark: SparkSession, path: str, user_id: str | None = None, bu
     return rows.drop("bucket")
 
 
+def buckets_of(rows: DataFrame, buckets: int = BUCKETS) -> list[int]:
+    """The folder numbers of the rows' users: at most ``buckets`` numbers."""
+    return [r[0] for r in rows.select(user_bucket(F.col("user_id"), buckets)).distinct().collect()]
+
+
+def read_buckets(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
+    """The stored markings of some folders. The numbers are literals, so no other folder is listed or read."""
+    return spark.read.parquet(path).filter(F.col("bucket").isin(numbers)).drop("bucket")
+
+
 def upsert_into(spark: SparkSession, path: str, incoming: DataFrame, buckets: int = BUCKETS) -> None:
-    """Upsert a batch into stored markings, rewriting only the folders of the users in the batch.
+    """Upsert a batch into stored markings, reading and rewriting only the folders of the users in the batch.
 
     The new folders replace the old ones when the job commits; a job that fails leaves the table as it was.
     """
-    incoming = incoming.withColumn("bucket", user_bucket(F.col("user_id"), buckets))
-    touched = incoming.select("bucket").distinct()
-    stored = spark.read.parquet(path).join(touched, "bucket", "left_semi").drop("bucket")
-    merged = upsert_markings(stored, incoming.drop("bucket"))
+    merged = upsert_markings(read_buckets(spark, path, buckets_of(incoming, buckets)), incoming)
     (
         merged.withColumn("bucket", user_bucket(F.col("user_id"), buckets))
         .hint("rebalance", "bucket")
@@ -81,10 +88,9 @@ def rewrite_user(
     The new rows are written beside the table first, so the folder is never read while it is replaced and a job
     that fails halfway can be finished from the written rows.
     """
-    bucket = spark.range(1).select(user_bucket(F.lit(user_id), buckets)).first()[0]
+    (bucket,) = buckets_of(spark.range(1).select(F.lit(user_id).alias("user_id")), buckets)
     staged = shared_dir(spark, "rewrite")
-    rows = spark.read.parquet(path).filter(F.col("bucket") == bucket).drop("bucket")
-    change(rows).write.parquet(staged)
+    change(read_buckets(spark, path, [bucket])).write.parquet(staged)
     spark.read.parquet(staged).write.mode("overwrite").parquet(f"{path}/bucket={bucket}")
 
 

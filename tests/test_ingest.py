@@ -185,6 +185,29 @@ def test_script_round_trip(spark, frame, tmp_path, parts):
     assert sorted(map(str, (tuple(r) for r in scripts.read_script(spark, path).collect()))) == sorted(map(str, SCRIPT_ROWS))
 
 
+def test_script_is_read_in_pieces(spark, frame, tmp_path):
+    """Cut anywhere, also inside a separator or a text, every tuple is read once."""
+    path = str(tmp_path / "script")
+    many = [(level, i, *SCRIPT_ROWS[i % 4][2:]) for level in ("N1", "N2") for i in range(1, 60)]
+    scripts.write_script(frame(SCRIPT_SCHEMA, many, 1).coalesce(1), path)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "97b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1b")
+        rows = scripts.read_script(spark, path)
+        assert rows.rdd.getNumPartitions() > 50
+        assert sorted((r["level"], r["ref_no"]) for r in rows.collect()) == sorted((r[0], r[1]) for r in many)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_sheet_folder_with_a_title_in_every_file(spark, tmp_path):
+    for i in (1, 2):
+        (tmp_path / f"{i}.csv").write_text(f"my words\nSr no,Kanji\n{i},語{i}\n", encoding="utf-8")
+    assert sorted(r["Kanji"] for r in sheets.read_sheet(spark, str(tmp_path)).collect()) == ["語1", "語2"]
+
+
 def test_script_is_one_statement(frame, tmp_path):
     path = tmp_path / "script"
     scripts.write_script(frame(SCRIPT_SCHEMA, SCRIPT_ROWS), str(path))

@@ -88,6 +88,14 @@ def test_one_users_markings_open_one_folder(spark, stored):
     assert "EqualTo(user_id,u1)" in own
 
 
+def test_upsert_reads_only_touched_folders(spark, stored):
+    batch = spark.createDataFrame([("u1",), ("u1",), ("u2",)], "user_id string")
+    numbers = tables.buckets_of(batch)
+    assert len(numbers) == 2 and all(0 <= n < tables.BUCKETS for n in numbers)
+    text = plan(tables.read_buckets(spark, stored + "/markings", numbers))
+    assert re.search(r"PartitionFilters: \[[^\n]*bucket#\d+ IN \(", text)
+
+
 def test_split_is_one_narrow_stage(plans):
     for name in ("split_sentence", "examples_or_fallback", "insert_script_export"):
         assert "Exchange" not in plans[name], name
