@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexitrack.functions.conjugation import CURRENT, HEADWORD_MARKS, PARTICLES, Variant, rules
-from lexitrack.functions.text import let, literal_pattern, remove_chars, strip
+from lexitrack.functions.text import let, remove_chars, strip
 
 _CANDIDATES = "array<struct<form:string,display:string>>"
 
@@ -45,14 +45,20 @@ def _inflections(clean: Column, variant: Variant, within: Column | None) -> Colu
     stem = F.left(clean, F.length(clean) - 1)
     # Verbs and い-adjectives need a stem to inflect; な may stand alone.
     applies = (F.length(clean) > 1) | (last == "な")
+    endings = F.try_element_at(F.expr(_rules_sql(variant)), last)
+
+    def expand(s: Column) -> Column:
+        found = endings
+        if within is not None:
+            found = F.filter(endings, lambda r: F.contains(within, F.concat(s, r["suffix"])))
+        return F.transform(
+            found, lambda r: F.struct(F.concat(s, r["suffix"]).alias("form"), r["display"].alias("display"))
+        )
+
     if within is not None:
         # Every inflection begins with the stem, so a sentence without the stem has none of them.
         applies = applies & F.contains(within, stem)
-    expanded = let(stem, lambda s: F.transform(
-        F.try_element_at(F.expr(_rules_sql(variant)), last),
-        lambda r: F.struct(F.concat(s, r["suffix"]).alias("form"), r["display"].alias("display")),
-    ))
-    return F.coalesce(F.when(applies, expanded), _none())
+    return F.coalesce(F.when(applies, let(stem, expand)), _none())
 
 
 def _particle_parts(clean: Column, variant: Variant) -> Column:
@@ -116,12 +122,12 @@ def split_sentence(word: Column, sentence: Column, variant: Variant = CURRENT, f
         return let(F.array_max(ranked), lambda best: cut(s, best))
 
     def cut(s: Column, best: Column) -> Column:
-        # Splitting once at the quoted form finds both halves in one pass over the sentence.
-        halves = F.split(s, literal_pattern(best["form"]), 2)
-        return F.when(best.isNotNull(), let(halves, lambda h: F.struct(
-            F.get(h, F.lit(0)).alias("before"),
+        before = F.call_function("substring_index", s, best["form"], F.lit(1))
+        rest = F.length(before) + F.length(best["form"]) + 1
+        return F.when(best.isNotNull(), F.struct(
+            before.alias("before"),
             best["form"].alias("matched"),
-            F.concat(best["display"], F.get(h, F.lit(1))).alias("after"),
-        )))
+            F.concat(best["display"], F.substr(s, rest)).alias("after"),
+        ))
 
     return let(word, lambda w: let(sentence, lambda s: pick(w, s)))

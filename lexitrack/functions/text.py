@@ -65,11 +65,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def literal_pattern(c: Column) -> Column:
-    """A regular expression that matches the text itself."""
-    return F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-
-
 def percent(part: Column, whole: Column) -> Column:
     """``100 * part / whole`` with one decimal, half away from zero; NULL for an empty whole."""
     exact = F.lit(100).cast("decimal(3,0)") * part.cast("decimal(18,0)") / F.nullif(whole, F.lit(0)).cast("decimal(18,0)")

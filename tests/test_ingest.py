@@ -208,6 +208,12 @@ def test_sheet_folder_with_a_title_in_every_file(spark, tmp_path):
     assert sorted(r["Kanji"] for r in sheets.read_sheet(spark, str(tmp_path)).collect()) == ["語1", "語2"]
 
 
+def test_sheet_with_line_breaks_in_cells(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('Sr no,Kanji,Sentence\n1,語,"一行\n二行"\n', encoding="utf-8")
+    (row,) = sheets.read_sheet(spark, str(tmp_path), header_row=0, multi_line=True).collect()
+    assert (row["Sr no"], row["Sentence"], row[sheets.BAD_ROW]) == ("1", "一行\n二行", None)
+
+
 def test_script_is_one_statement(frame, tmp_path):
     path = tmp_path / "script"
     scripts.write_script(frame(SCRIPT_SCHEMA, SCRIPT_ROWS), str(path))
