@@ -74,15 +74,21 @@ def write_script(words: DataFrame, path: str, with_level: bool = True) -> None:
         F.lit(None).cast("string").alias("frame"),
         *[c for c in words.columns if c in (*FIELDS, "week", "day")],
     )
-    # One row. Every tuple but the last is followed by a comma.
+    # Every tuple but the last is followed by a comma. The last word's copies, if it has any, are counted and
+    # written one by one, so that exactly one tuple goes without.
     last = keyed.agg(F.max("key").alias("last")).scalar()
+    tail = keyed.filter(F.col("key") == last).groupBy(*keyed.columns).count()
+    tail = tail.select(*keyed.columns, "count", F.explode(F.sequence(F.lit(1).cast("long"), "count")).alias("nth"))
+    rows = keyed.filter(F.col("key") < last).withColumn("comma", F.lit(",")).unionByName(
+        tail.withColumn("comma", F.when(F.col("nth") < F.col("count"), ",").otherwise("")).drop("count", "nth")
+    )
+    # The comma column sorts the copies: ',' stands behind '', so descending.
     frame = words.sparkSession.range(1).select(F.explode(F.array(
         F.struct(F.lit(0).alias("step"), F.lit(_HEAD.format(columns=columns)).alias("frame")),
         F.struct(F.lit(2).alias("step"), F.lit(_TAIL).alias("frame")),
     )).alias("f")).select("f.*")
-    ordered = keyed.unionByName(frame, allowMissingColumns=True).orderBy("step", "key")
-    comma = F.when(F.col("key") == last, "").otherwise(",")
-    ordered.select(F.coalesce("frame", F.concat(insert_tuple(with_level), comma))).write.text(path)
+    ordered = rows.unionByName(frame, allowMissingColumns=True).orderBy("step", "key", F.desc("comma"))
+    ordered.select(F.coalesce("frame", F.concat(insert_tuple(with_level), "comma"))).write.text(path)
 
 
 def _tokens(record: Column) -> Column:

@@ -185,6 +185,14 @@ def test_script_round_trip(spark, frame, tmp_path, parts):
     assert sorted(map(str, (tuple(r) for r in scripts.read_script(spark, path).collect()))) == sorted(map(str, SCRIPT_ROWS))
 
 
+def test_script_with_copies_of_the_last_word(spark, frame, tmp_path):
+    path = tmp_path / "script"
+    scripts.write_script(frame(SCRIPT_SCHEMA, SCRIPT_ROWS + SCRIPT_ROWS[2:3] * 4), str(path))
+    assert scripts.read_script(spark, str(path)).count() == 8
+    whole = "".join(f.read_text(encoding="utf-8") for f in sorted(path.glob("part-*")))
+    assert whole.count("'（語）'") == 5 and whole.count("),\n    (") == 7
+
+
 def test_script_is_read_in_pieces(spark, frame, tmp_path):
     """Cut anywhere, also inside a separator or a text, every tuple is read once."""
     path = str(tmp_path / "script")
