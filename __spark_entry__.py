@@ -388,6 +388,8 @@ def queries() -> dict[str, _Query]:
         "check_not_null": lambda s, d: quality.check_not_null(
             _enriched(s, d), (*NOT_NULL["vocabulary"], "full_sentence", "page_no")),
         "check_unique": lambda s, d: quality.check_unique(b.marking_log(s, d), ("user_id", "word_id")),
+        "check_table": lambda s, d: quality.check_table(b.marking_log(s, d), "user_markings"),
+        "check_table_vocabulary": lambda s, d: quality.check_table(w(s, d), "vocabulary"),
         "check_foreign_key": lambda s, d: quality.check_foreign_key(
             b.marking_log(s, d), "word_id", b.table(s, d, "customer").select(F.col("c_custkey").alias("id"))),
         "check_length": lambda s, d: quality.check_length(

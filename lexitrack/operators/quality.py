@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexitrack.schema import MAX_LENGTHS, NOT_NULL, UNIQUE_KEYS
+
 
 def check_not_null(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Missing values per column that must have one, from one scan."""
@@ -26,6 +28,24 @@ def check_length(rows: DataFrame, limits: dict[str, int]) -> DataFrame:
     return counts.unpivot([], list(limits), "column", "violations")
 
 
+def check_table(rows: DataFrame, table: str) -> DataFrame:
+    """All declared constraints of a table as (check, column, violations), foreign keys aside.
+
+    NOT NULL and length take one scan each; each unique key is one count per key, reported as the number of keys that
+    occur more than once.
+    """
+    def named(report: DataFrame, check: str) -> DataFrame:
+        return report.select(F.lit(check).alias("check"), "column", "violations")
+
+    reports = [named(check_not_null(rows, NOT_NULL[table]), "not null")]
+    if table in MAX_LENGTHS:
+        reports.append(named(check_length(rows, MAX_LENGTHS[table]), "length"))
+    for key in UNIQUE_KEYS[table]:
+        repeated = check_unique(rows, key).agg(F.count("*").alias("violations"))
+        reports.append(named(repeated.withColumn("column", F.lit(", ".join(key))), "unique"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def missing_keys(rows: DataFrame, column: str, parent: DataFrame, parent_key: str = "id") -> DataFrame:
     """Key values without a parent row, with their number of rows.
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from lexitrack.testbed import bindings as b
 from lexitrack.functions.conjugation import CURRENT, FIRST, INTERIM, PARTICLES, Variant, rules
-from lexitrack.schema import DIFFICULTY_LABELS, MARKING_COLUMNS, MARKING_LABELS
+from lexitrack.schema import DIFFICULTY_LABELS, MARKING_COLUMNS, MARKING_LABELS, MAX_LENGTHS
 
 U = b.USER
 SEED = 7
@@ -388,6 +388,14 @@ UNION ALL SELECT NULL, word_id, CAST(updated_at AS DATE), CASE WHEN marking = 5
         "check_not_null": _with(_enriched()) + " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS violations FROM enriched" for c in ("level", "kanji", "full_sentence", "page_no")),
         "check_unique": _with(LOG) + "SELECT user_id, word_id, count(*) AS count FROM log GROUP BY user_id, word_id HAVING count(*) > 1",
+        "check_table": _with(LOG) + """SELECT 'not null' AS "check", 'user_id' AS "column", count(*) FILTER (user_id IS NULL) AS violations FROM log
+UNION ALL SELECT 'not null', 'word_id', count(*) FILTER (word_id IS NULL) FROM log
+UNION ALL SELECT 'unique', 'id', count(*) FROM (SELECT id FROM log GROUP BY id HAVING count(*) > 1)
+UNION ALL SELECT 'unique', 'user_id, word_id', count(*) FROM (SELECT user_id, word_id FROM log GROUP BY user_id, word_id HAVING count(*) > 1)""",
+        "check_table_vocabulary": _with(WORDS) + " UNION ALL ".join(
+            [f"SELECT 'not null' AS \"check\", '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS violations FROM words" for c in ("level", "kanji")]
+            + [f"SELECT 'length', '{c}', count(*) FILTER (length({c}) > {n}) FROM words" for c, n in MAX_LENGTHS["vocabulary"].items()]
+            + ["SELECT 'unique', 'id', count(*) FROM (SELECT id FROM words GROUP BY id HAVING count(*) > 1)"]),
         "check_foreign_key": _with(LOG) + "SELECT 'word_id' AS \"column\", count(*) AS violations FROM log WHERE word_id NOT IN (SELECT c_custkey FROM customer)",
         "check_length": _with(WORDS) + " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", count(*) FILTER (length({c}) > {n}) AS violations FROM words"
