@@ -97,7 +97,7 @@ def _tokens(record: Column) -> Column:
     The record is cut at every quote, so pieces at odd positions lie inside quotes. An empty piece between two
     of them is a doubled quote, part of the text; any other piece outside quotes ends the text before it.
     """
-    def fields(pieces: Column) -> Column:
+    def rejoined(pieces: Column) -> Column:
         def piece(p: Column, i: Column) -> Column:
             doubled = (i > 0) & (i < F.size(pieces) - 1) & (p == "")
             return (
@@ -106,8 +106,9 @@ def _tokens(record: Column) -> Column:
                 .otherwise(F.concat(F.lit(_MARK), p, F.lit(_MARK)))
             )
 
-        spans = F.split(F.array_join(F.transform(pieces, piece), ""), _MARK)
-        # Now spans alternate: '', code, text, code, text, ..., code, ''.
+        return F.split(F.array_join(F.transform(pieces, piece), ""), _MARK)
+
+    def fields(spans: Column) -> Column:
         def span(s: Column, i: Column) -> Column:
             text = (i % 2 == 0) & (i > 0) & (i < F.size(spans) - 1)
             code = F.filter(F.transform(F.split(s, ","), lambda t: strip(t)), lambda t: t != "")
@@ -117,7 +118,12 @@ def _tokens(record: Column) -> Column:
 
         return F.flatten(F.transform(spans, span))
 
-    return let(F.split(record, "'"), fields)
+    # Both ways give spans that alternate: '', code, text, code, text, ..., code, ''.
+    edge = F.array(F.lit(""))
+    spans = F.when(F.contains(record, F.lit("''")), let(F.split(record, "'"), rejoined)).otherwise(
+        F.concat(edge, F.split(record, "'"), edge)
+    )
+    return let(spans, fields)
 
 
 def read_script(spark: SparkSession, path: str, with_level: bool = True) -> DataFrame:
@@ -125,11 +131,18 @@ def read_script(spark: SparkSession, path: str, with_level: bool = True) -> Data
 
     The text before the first tuple and after the last one is dropped.
     """
-    frame = F.col("value").rlike(r"^(--|BEGIN|INSERT|;)")
+    value = F.col("value")
+    # Whole records are only searched for the script's end; the rest looks at the ends of a record.
+    frame = value.startswith("--") | value.startswith("BEGIN") | value.startswith("INSERT") | value.startswith(";")
     opening = ") VALUES\n    ("
-    record = F.when(frame, F.substring_index("value", opening, -1)).otherwise(F.regexp_replace("value", r"^\s*\(", ""))
+    record = (
+        F.when(frame, F.substring_index(value, opening, -1))
+        .when(value.startswith("    ("), F.substr(value, F.lit(6)))
+        .otherwise(value)
+    )
     record = F.substring_index(record, ")\n;\n", 1)
-    record = F.regexp_replace(record, r"\)\s*,?\s*$", "")
+    open_end = record.endswith("\n") | record.endswith(",") | record.endswith(")")
+    record = F.when(open_end, F.rtrim(record, F.lit("), \r\n"))).otherwise(record)
     names = [f for f in FIELDS if with_level or f != "level"]
     complete = F.when(F.size("t") == len(names), F.col("t")).otherwise(
         F.raise_error(F.concat(F.lit("no vocabulary tuple: "), F.array_join("t", " | ")))
