@@ -226,7 +226,7 @@ def string_functions(spark, d):
         F.lower(F.col("Meaning")).alias("meaning"),
         F.instr(t, "、").alias("comma_at"),
         F.substring_index(t, "、", 1).alias("head"),
-        F.size(F.split(t, " ")).alias("pieces"),
+        F.array_size(F.split(t, " ")).alias("pieces"),
         text.remove_chars(F.col("Raw"), "＊*+（）()").alias("bare"),
         F.col("Raw").endswith("い").alias("ends_i"),
     )
