@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexitrack.functions.text import example_text
-from lexitrack.operators.maintain import upsert_markings
+from lexitrack.operators.maintain import apply_defaults, upsert_markings
 from lexitrack.schema import MARKINGS_CSV
 from lexitrack.session import shared_dir
 
@@ -111,11 +111,18 @@ def write_csv(rows: DataFrame, path: str) -> None:
     rows.select(*texts).write.mode("overwrite").options(**_CSV).csv(path)
 
 
-def read_markings_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Markings CSV, its header checked against the four columns. ``updated_at`` may be a date or a timestamp."""
-    texts = T.StructType([T.StructField(n, T.StringType()) for n in MARKINGS_CSV.fieldNames()])
-    rows = spark.read.schema(texts).options(**_CSV).option("enforceSchema", False).csv(path)
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MARKINGS_CSV.fields])
+def read_markings_csv(spark: SparkSession, path: str, as_of: datetime | str | None = None) -> DataFrame:
+    """Markings CSV by column name, in any order; ``updated_at`` may be a date or a timestamp.
+
+    Without a ``marking`` or ``updated_at`` column the declared defaults hold. The files of a folder must have
+    the same header.
+    """
+    rows = spark.read.options(**_CSV).option("enforceSchema", False).csv(path)
+    missing = {"user_id", "word_id"} - set(rows.columns)
+    if missing:
+        raise ValueError(f"{path} lacks {sorted(missing)}")
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in MARKINGS_CSV.fields if f.name in rows.columns]
+    return apply_defaults(rows.select(*typed), "user_markings", as_of).select(*MARKINGS_CSV.fieldNames())
 
 
 def anki_export(words: DataFrame) -> DataFrame:

@@ -265,10 +265,13 @@ def test_markings_import_with_rejects(spark, words, markings, tmp_path):
         (2, "other owner"), (50, "unknown word"), (None, "no word")}
 
 
-def test_markings_csv_with_other_header_is_refused(spark, tmp_path):
-    (tmp_path / "in.csv").write_text("word_id,user_id,marking,updated_at\n1,a,1,2026-01-18\n")
-    with pytest.raises(Exception, match="header"):
-        tables.read_markings_csv(spark, str(tmp_path / "in.csv")).collect()
+def test_markings_csv_goes_by_column_name(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("word_id,user_id,note\n1,a,x\n")
+    got = tables.read_markings_csv(spark, str(tmp_path / "in.csv"), AS_OF).collect()
+    assert [tuple(r) for r in got] == [("a", 1, 0, dt.datetime(2026, 1, 21))]
+    (tmp_path / "bad.csv").write_text("word,user_id\n1,a\n")
+    with pytest.raises(ValueError, match="word_id"):
+        tables.read_markings_csv(spark, str(tmp_path / "bad.csv"))
 
 
 def test_upsert_rewrites_only_the_buckets_it_touches(spark, frame, markings, tmp_path):
