@@ -20,14 +20,14 @@ _KEY = ["user_id", "word_id"]
 def latest_markings(log: DataFrame) -> DataFrame:
     """One row per (user, word) from a change log: the newest code and time under the first row's id.
 
-    Rows count by ``batch`` (0 if the log has none), then time, then id, then code.
+    Rows count by ``batch`` (if the log has one), then time, then id, then code.
     """
-    batch = F.col("batch") if "batch" in log.columns else F.lit(0)
-    order = F.struct(batch.alias("batch"), "updated_at", "id", "marking")
-    first = F.struct(batch.alias("batch"), F.col("id").isNull().alias("no_id"), "id")
+    by_batch = ["batch"] if "batch" in log.columns else []
+    newest = F.max(F.struct(*by_batch, "updated_at", "id", "marking"))
+    first = F.min(F.struct(*by_batch, F.col("id").isNull().alias("no_id"), "id"))["id"] if by_batch else F.min("id")
     return (
-        log.groupBy(*_KEY).agg(F.max(order).alias("latest"), F.min(first).alias("first"))
-        .select("first.id", *_KEY, "latest.marking", "latest.updated_at")
+        log.groupBy(*_KEY).agg(newest.alias("latest"), first.alias("id"))
+        .select("id", *_KEY, "latest.marking", "latest.updated_at")
     )
 
 
