@@ -26,6 +26,12 @@ from lexitrack.sources import calendar, scripts, sheets, tables
 from lexitrack.testbed import bindings as b
 from lexitrack.testbed import oracle
 
+try:
+    import corpus_pipeline
+    from lexitrack.llm import queries as llm
+except ImportError:  # the library works without that subpackage
+    corpus_pipeline = llm = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 SEED = 7
 
@@ -252,7 +258,7 @@ def queries() -> dict[str, _Query]:
     """One entry per operator; each reads the given tables whole."""
     w, sw, sched, mk, pg = b.words, b.study_words, b.schedule, b.markings, b.progress
     u = b.USER
-    return {
+    return _llm_queries() | {
         # sources and sinks
         "read_sheet": read_sheet,
         "load_levels": load_levels,
@@ -401,8 +407,16 @@ def queries() -> dict[str, _Query]:
     }
 
 
+def _llm_queries() -> dict[str, _Query]:
+    return {} if llm is None else {**llm.QUERIES, "pipeline": corpus_pipeline.run}
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    """The SQL of every query that SQL can express."""
+    if llm is None:
+        return oracle.oracle_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**oracle.oracle_sql(), **llm.ORACLE, **pipeline}
 
 
 def entry(spark: SparkSession) -> DataFrame:
