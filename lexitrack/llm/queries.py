@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexitrack.llm import byte_bpe, id_planes, language_id, quality, secret_scan
+from lexitrack.llm import byte_bpe, decontaminate, fingerprint, id_planes, jaccard_join, language_id, pii, quality, secret_scan
 from lexitrack.llm.common import held_out, importable, table
 
 
@@ -45,23 +45,70 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.find(docs.select("doc_id", "text"), items, out="b")
+    return found.select(
+        "doc_id", "b.n_words", "b.n_hit", F.size("b.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("b.items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("b")).alias("contaminated"),
+    )
+
+
 def op6_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     return id_planes.store_and_read(table(spark, sf_dir, "documents"))
 
 
+def op7_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fingerprint.with_next_text(table(spark, sf_dir, "documents"))
+    n = F.char_length("text")
+    half = F.floor(n / 2).cast("int")
+    pairs = pairs.withColumn("edited", F.concat(F.left("text", n - half), F.left("next_text", half)))
+    for text in ("text", "edited", "next_text"):
+        pairs = fingerprint.sketch(pairs, text, f"{text}_sketch")
+    own, edited, after = (F.col(f"{t}_sketch") for t in ("text", "edited", "next_text"))
+    return pairs.select(
+        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.encoded(own).alias("fingerprint"), fingerprint.encoded(edited).alias("edited_fingerprint"),
+        fingerprint.resemblance(own, edited).alias("near_edited"), fingerprint.resemblance(own, after).alias("near_next"),
+    )
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), out="s")
+    s = F.col("s")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(s, lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.BASE), F.sha2(pii.joined(s, pii.BASE), 256).alias("base_sha256"),
+        pii.joined(s, pii.KINDS).alias("spans"),
+    )
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     found = byte_bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), out="bpe")
     return found.select("doc_id", "bpe.*")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
+    "op5_decontaminate": op5_decontaminate,
     "op6_id_planes": op6_id_planes,
+    "op7_fingerprint": op7_fingerprint,
+    "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 #: The operators that SQL can express.
