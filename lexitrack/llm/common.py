@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -126,3 +127,54 @@ def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(
         pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data)]
     )
+
+
+# Hashed words
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = x ^ (x >> np.uint64(27))
+    x = x * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+@cache
+def _byte_codes() -> np.ndarray:
+    codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    codes[65:91] = codes[97:123]  # A-Z as a-z
+    return codes
+
+
+@cache
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    base = 0x9E3779B97F4A7C15
+    up, down = np.full(n + 1, base, np.uint64), np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
+    up[0] = down[0] = 1
+    np.cumprod(up, out=up)
+    np.cumprod(down, out=down)
+    return up, down
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of a block, A-Z as a-z, cut at ASCII white space; and the n + 1 offsets of texts in them.
+
+    A word's hash is the difference of two running sums of a polynomial in its bytes.
+    """
+    data, offsets = raw(texts)
+    n = len(data)
+    up, down = _powers(1 << max(12, n.bit_length()))
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_byte_codes()[data] * up[:n], out=total[1:])
+    blank = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    text_starts = offsets[:-1][offsets[:-1] < offsets[1:]]
+    first = ~blank
+    first[1:] &= blank[:-1]
+    first[text_starts] = ~blank[text_starts]
+    last = ~blank
+    last[:-1] &= blank[1:]
+    last[text_starts[1:] - 1] = ~blank[text_starts[1:] - 1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    words = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    bounds = np.searchsorted(starts, offsets)
+    return words, bounds

@@ -29,7 +29,7 @@ SHARE = 0.05
 _CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_KEY = ["text_hash", "text_crc"]
+_KEY = ["__text_hash", "__text_crc"]
 
 
 def words(text: Column) -> Column:
@@ -79,7 +79,7 @@ def _windows(size: int, at: Column, w: str = "w") -> list[Column]:
 
 def _with_key(docs: DataFrame, text: str) -> DataFrame:
     value = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({"text_hash": F.xxhash64(value), "text_crc": F.crc32(value)})
+    return docs.withColumns(dict(zip(_KEY, (F.xxhash64(value), F.crc32(value)), strict=True)))
 
 
 def _hits(texts: DataFrame, items: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def _short_hits(texts: DataFrame, items: DataFrame, size: int) -> DataFrame:
 def find(docs: DataFrame, items: DataFrame, text: str = "text", out: str = "benchmark") -> DataFrame:
     """The rows with ``out``: words, hit words, and the items (sorted as strings) of which a window occurs.
 
-    ``items`` has item_id and text. A column ``out`` is replaced; text_hash and text_crc are used inside and removed.
+    ``items`` has item_id and text. A column ``out`` is replaced. Names that begin with two underscores are used inside.
     """
     items = items.select("item_id", words(F.col("text")).alias("w")).filter(F.size("w") > 0)
     short = items.filter(F.size("w") < WINDOW).select(F.size("w").alias("n")).distinct()
@@ -137,12 +137,13 @@ def find(docs: DataFrame, items: DataFrame, text: str = "text", out: str = "benc
     new = F.greatest(F.col("end") - F.greatest(F.col("at"), reached), F.lit(0))
     covered = spans.select(*_KEY, new.alias("new")).groupBy(*_KEY).agg(F.sum("new").alias("n_hit"))
     found = covered.join(of_items, _KEY).withColumnsRenamed({k: f"found_{k}" for k in _KEY})
-    keyed = _with_key(docs.drop(out), text)
-    joined = keyed.join(found, [keyed[k] == found[f"found_{k}"] for k in _KEY], "left")
-    return joined.select(*[keyed[c] for c in docs.columns if c != out], F.struct(
-        F.coalesce(F.regexp_count(keyed[text], F.lit(_WORD)), F.lit(0)).cast("long").alias("n_words"),
-        F.coalesce(found["n_hit"], F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(found["items"], F.array().cast("array<string>")).alias("items"),
+    found = found.withColumnsRenamed({"n_hit": "__n_hit", "items": "__items"})
+    kept = [f"`{c}`" for c in docs.columns if c != out]
+    joined = _with_key(docs.select(*kept), text).join(found, [F.col(k) == F.col(f"found_{k}") for k in _KEY], "left")
+    return joined.select(*kept, F.struct(
+        F.coalesce(F.regexp_count(F.col(text), F.lit(_WORD)), F.lit(0)).cast("long").alias("n_words"),
+        F.coalesce("__n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce("__items", F.array().cast("array<string>")).alias("items"),
     ).alias(out))
 
 

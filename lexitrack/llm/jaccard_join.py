@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexitrack.llm.common import blocks, raw
+from lexitrack.llm.common import blocks, mix as _mix, word_hashes
 from lexitrack.session import shared_dir
 
 SHINGLE = 5
@@ -47,49 +47,9 @@ _U = np.uint64
 
 # Sets
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> _U(27))
-    x = x * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-@cache
-def _byte_codes() -> np.ndarray:
-    codes = _mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-    codes[65:91] = codes[97:123]  # A-Z as a-z
-    return codes
-
-
-@cache
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    up, down = np.full(n + 1, base, _U), np.full(n + 1, pow(base, -1, 1 << 64), _U)
-    up[0] = down[0] = 1
-    np.cumprod(up, out=up)
-    np.cumprod(down, out=down)
-    return up, down
-
-
 def sets(texts: pa.Array) -> list[np.ndarray]:
     """The sorted distinct hashes of every text's shingles."""
-    data, offsets = raw(texts)
-    n = len(data)
-    up, down = _powers(1 << max(12, n.bit_length()))
-    total = np.zeros(n + 1, _U)
-    np.cumsum(_byte_codes()[data] * up[:n], out=total[1:])
-    blank = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-    text_starts = offsets[:-1][offsets[:-1] < offsets[1:]]
-    first = ~blank
-    first[1:] &= blank[:-1]
-    first[text_starts] = ~blank[text_starts]
-    last = ~blank
-    last[:-1] &= blank[1:]
-    last[text_starts[1:] - 1] = ~blank[text_starts[1:] - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    words = _mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
-    bounds = np.searchsorted(starts, offsets)
+    words, bounds = word_hashes(texts)
     weights = [_U(pow(0xD6E8FEB86659FD93, j + 1, 1 << 64)) for j in range(SHINGLE)]
     grams = np.zeros(max(0, len(words) - SHINGLE + 1), _U)
     for j, weight in enumerate(weights):

@@ -69,7 +69,7 @@ def _counts(kind: str, value: Column) -> Column:
 
 
 def _positions(rows: DataFrame, text: str, wanted: dict[str, tuple[str, str | None]]) -> DataFrame:
-    """The rows with ``found_<kind>``: start, end and value of all finds of a pattern.
+    """The rows with ``__found_<kind>``: start, end and value of all finds of a pattern.
 
     The text is cut at the finds; a find begins after the pieces and finds before it. Running sums go by chunks, so
     that a text with very many finds does not cost the square of their number.
@@ -78,20 +78,20 @@ def _positions(rows: DataFrame, text: str, wanted: dict[str, tuple[str, str | No
     finds = {}
     for kind, (pattern, gate) in wanted.items():
         has = value.rlike(gate) if gate else F.lit(True)
-        finds[f"m_{kind}"] = F.when(has, F.regexp_extract_all(value, F.lit(pattern), F.lit(0))).otherwise(none)
-        finds[f"p_{kind}"] = F.when(has, F.split(value, pattern, -1)).otherwise(none)
+        finds[f"__m_{kind}"] = F.when(has, F.regexp_extract_all(value, F.lit(pattern), F.lit(0))).otherwise(none)
+        finds[f"__p_{kind}"] = F.when(has, F.split(value, pattern, -1)).otherwise(none)
     rows = rows.withColumns(finds)
     rows = rows.withColumns({
-        f"l_{k}": F.zip_with(f"p_{k}", f"m_{k}", lambda p, m: F.length(p) + F.coalesce(F.length(m), F.lit(0))) for k in wanted
+        f"__l_{k}": F.zip_with(f"__p_{k}", f"__m_{k}", lambda p, m: F.length(p) + F.coalesce(F.length(m), F.lit(0))) for k in wanted
     })
-    rows = rows.withColumns({f"c_{k}": _chunk_sums(k) for k in wanted})
-    rows = rows.withColumns({f"b_{k}": _running(f"c_{k}") for k in wanted})
-    rows = rows.withColumns({f"found_{k}": _finds(k) for k in wanted})
-    return rows.drop(*(f"{c}_{k}" for c in "mplcb" for k in wanted))
+    rows = rows.withColumns({f"__c_{k}": _chunk_sums(k) for k in wanted})
+    rows = rows.withColumns({f"__b_{k}": _running(f"__c_{k}") for k in wanted})
+    rows = rows.withColumns({f"__found_{k}": _finds(k) for k in wanted})
+    return rows.drop(*(f"__{c}_{k}" for c in "mplcb" for k in wanted))
 
 
 def _chunk_sums(kind: str) -> Column:
-    lengths = f"l_{kind}"
+    lengths = f"__l_{kind}"
     chunks = F.sequence(F.lit(0), F.floor(F.greatest(F.size(lengths) - 1, F.lit(0)) / _CHUNK).cast("int"))
     return F.transform(chunks, lambda j: F.aggregate(F.slice(lengths, j * _CHUNK + 1, _CHUNK), F.lit(0), lambda a, x: a + x))
 
@@ -101,7 +101,7 @@ def _running(sums: str) -> Column:
 
 
 def _finds(kind: str) -> Column:
-    lengths, before, pieces = f"l_{kind}", f"b_{kind}", f"p_{kind}"
+    lengths, before, pieces = f"__l_{kind}", f"__b_{kind}", f"__p_{kind}"
 
     def place(value: Column, i: Column) -> Column:
         chunk = F.floor(i / _CHUNK).cast("int")
@@ -109,17 +109,17 @@ def _finds(kind: str) -> Column:
         start = F.get(before, chunk) + near + F.length(F.get(pieces, i))
         return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
 
-    return F.transform(f"m_{kind}", place)
+    return F.transform(f"__m_{kind}", place)
 
 
 def base_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     """The rows with ``out``: the base spans of the text in order."""
     rows = _positions(docs, text, {k: (_PATTERNS[k], _GATES[k]) for k in BASE})
-    return rows.withColumn(out, F.array_sort(F.concat(*map(_kept, BASE)))).drop(*(f"found_{k}" for k in BASE))
+    return rows.withColumn(out, F.array_sort(F.concat(*map(_kept, BASE)))).drop(*(f"__found_{k}" for k in BASE))
 
 
 def _kept(kind: str) -> Column:
-    good = F.filter(f"found_{kind}", lambda s: _counts(kind, s["value"]))
+    good = F.filter(f"__found_{kind}", lambda s: _counts(kind, s["value"]))
     return F.transform(good, lambda s: _span(kind, s)).cast(_SPAN)
 
 
@@ -145,12 +145,12 @@ def masked(text: Column, spans: Column) -> Column:
 
 # Disclosing terms
 
-_KEY = ["text_hash", "text_crc"]
+_KEY = ["__text_hash", "__text_crc"]
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
     value = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({"text_hash": F.xxhash64(value), "text_crc": F.crc32(value)})
+    return docs.withColumns(dict(zip(_KEY, (F.xxhash64(value), F.crc32(value)), strict=True)))
 
 
 def _terms(text: Column) -> Column:
@@ -173,7 +173,7 @@ def _entities(texts: DataFrame) -> DataFrame:
 def disclosing_terms(
     texts: DataFrame, disclosure: float = DISCLOSURE, min_bits: float = MIN_BITS, min_contexts: int = MIN_CONTEXTS,
 ) -> DataFrame:
-    """Terms that disclose an entity, from rows (text_hash, text_crc, text): the term alone.
+    """Terms that disclose an entity, from rows with a key of the text, and the text: the term alone.
 
     Counts are aggregates, so a frequent entity or term reaches a reducer as one row for each task and text.
     """
@@ -212,15 +212,15 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans", **thresholds)
     inside = occurrences(texts, terms).groupBy(*_KEY).agg(F.collect_set("term").alias("disclosing"))
     held = texts.join(inside, _KEY).dropDuplicates(_KEY)
     placed = _positions(held, "text", {"term": (_TERM, None)})
-    hits = F.filter("found_term", lambda s: F.array_contains("disclosing", F.lower(s["value"])))
+    hits = F.filter("__found_term", lambda s: F.array_contains("disclosing", F.lower(s["value"])))
     placed = placed.select(
-        F.col("text_hash").alias("found_hash"), F.col("text_crc").alias("found_crc"),
-        F.transform(hits, lambda s: _span("term", s)).cast(_SPAN).alias("found_terms"),
+        *[F.col(k).alias(f"found{k}") for k in _KEY],
+        F.transform(hits, lambda s: _span("term", s)).cast(_SPAN).alias("__terms"),
     )
-    kept = [c for c in docs.columns if c != out]
-    rows = base_spans(_keyed(docs.select(*kept), text), text, "base_spans")
-    rows = rows.join(placed, [rows["text_hash"] == placed["found_hash"], rows["text_crc"] == placed["found_crc"]], "left")
-    base, added = F.col("base_spans"), F.coalesce("found_terms", F.array().cast(_SPAN))
+    kept = [f"`{c}`" for c in docs.columns if c != out]
+    rows = base_spans(_keyed(docs.select(*kept), text), text, "__base")
+    rows = rows.join(placed, [F.col(k) == F.col(f"found{k}") for k in _KEY], "left")
+    base, added = F.col("__base"), F.coalesce("__terms", F.array().cast(_SPAN))
     outside = F.filter(added, lambda t: ~F.exists(base, lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))
     return rows.select(*kept, F.array_sort(F.concat(base, outside)).alias(out))
 

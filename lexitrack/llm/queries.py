@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexitrack.llm import byte_bpe, decontaminate, fingerprint, id_planes, jaccard_join, language_id, pii, quality, secret_scan
+from lexitrack.llm import byte_bpe, decontaminate, fingerprint, id_planes, jaccard_join, language_id, lm_score, pii, quality, secret_scan
 from lexitrack.llm.common import held_out, importable, table
 
 
@@ -20,6 +20,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -101,6 +106,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_lm_score": op2_lm_score,
     "op3_quality": op3_quality,
     "op4_secrets": op4_secrets,
     "op5_decontaminate": op5_decontaminate,
