@@ -35,6 +35,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     found = jaccard_join.join(docs)
     gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
     twice = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(F.col("doc_id").alias("__twice"))
+    if gone.count() <= jaccard_join.BROADCAST_ROWS:
+        gone = F.broadcast(gone)
     kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
     if twice.isEmpty():
         return _same(kept, docs)

@@ -10,7 +10,7 @@ than H; a set for which they don't is keyed again by another hash, until they do
 needs fewer hashes is sure to meet the other.
 
 Keys travel packed by hash bucket. Sets that share a key form a group; every group's smallest set is compared with the
-others exactly (stars, not all pairs), components are computed, and only where a group then holds several components
+others (stars, not all pairs), by sizes and parity sketches, which rule out most pairs for sure, then exactly, components are computed, and only where a group then holds several components
 are the pairs between these compared. A large group in which that would be too many is divided by the keys of another
 hash, which linked sets share too. Nothing is capped. Equal sets are one set from the start.
 
@@ -41,7 +41,10 @@ GROUP_PAIRS = 2000
 STAR = 64
 #: Keys in a bucket, about.
 BUCKET_KEYS = 250_000
+#: Up to so many ids are broadcast to pick texts; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 _BLOCK = 16 << 20
+_TEXT_BYTES = 1 << 20
 _U = np.uint64
 
 
@@ -71,6 +74,27 @@ def name(elements: np.ndarray) -> int:
     return int(_mix(np.array([sums[0] + sums[1] + _U(len(elements))], _U)).view(np.int64)[0])
 
 
+def sketch(elements: np.ndarray) -> bytes:
+    """Parities of the numbers of elements by hash, in as many bits as the set has elements or up to twice as many.
+
+    An element in one of two sets alone changes one parity, so sets differ in at least as many elements as parities.
+    """
+    bits = 1 << max(6, len(elements).bit_length())
+    counts = np.bincount((_mix(elements ^ _U(0x5851F42D4C957F2D)) & _U(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """The least number of elements in one of two sets alone, by their sketches."""
+    if len(a) > len(b):
+        a, b = b, a
+    x, y, width = int.from_bytes(a, "little"), int.from_bytes(b, "little"), 8 * len(b)
+    while width > 8 * len(a):  # parities of fewer bits
+        width //= 2
+        y = (y >> width) ^ (y & ((1 << width) - 1))
+    return (x ^ y).bit_count()
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     common = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common >= 80 * (len(a) + len(b) - common) > 0
@@ -156,12 +180,15 @@ def keys(elements: np.ndarray, salt: int = 0, level: int = 0) -> np.ndarray:
 # Spark jobs
 
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (doc_id, text): doc_id, size and name of the set."""
+    """Of rows (doc_id, text): doc_id, and size, name and sketch of the set."""
     for batch in batches:
-        found = [s for block in blocks(batch.column(1)) for s in sets(block)]
+        rows = [
+            (len(s), name(s), sketch(s)) for block in blocks(batch.column(1), _TEXT_BYTES) for s in sets(block)
+        ]
+        size, node, bits = zip(*rows, strict=True) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).cast(pa.int64()), pa.array([len(s) for s in found], pa.int64()), pa.array([name(s) for s in found], pa.int64())],
-            names=["doc_id", "n_shingles", "node"],
+            [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary())],
+            names=["doc_id", "n_shingles", "node", "bits"],
         )
 
 
@@ -171,7 +198,7 @@ def _packer(buckets: int, level: int):
         held, size = [], 0
         for batch in batches:
             at = 0
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), _TEXT_BYTES):
                 salts = batch.column(1).slice(at, len(block)).to_pylist()
                 at += len(block)
                 held += zip(salts, sets(block), strict=True)
@@ -240,13 +267,38 @@ def _compared(key: tuple, rows: pa.Table) -> pa.Table:
     """Of one set (other is null) and others: the links between it and them."""
     texts = rows["text"].combine_chunks()
     others = rows["other"].to_pylist()
-    found = [s for block in blocks(texts) for s in sets(block)]
+    found = [s for block in blocks(texts, _TEXT_BYTES) for s in sets(block)]
     hub = next((s for s, o in zip(found, others, strict=True) if o is None), None)
     ok = [o for s, o in zip(found, others, strict=True) if o is not None and hub is not None and linked(hub, s)]
     one = key[0].as_py()
     return pa.table({"a": pa.array([one] * len(ok), pa.int64()), "b": pa.array(ok, pa.int64())})
 
 
+def _near(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    for a, b, most in columns:
+        rows = zip(a.to_pylist(), b.to_pylist(), most.to_pylist(), strict=True)
+        yield pa.array([apart(x, y) <= m for x, y, m in rows], pa.bool_())
+
+
+def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) but those whose sizes or sketches show that they are not linked."""
+    for side in "ab":
+        own = sketches.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
+        pairs = pairs.join(own, side)
+    sizes = 10 * F.least("n_a", "n_b") >= 8 * F.greatest("n_a", "n_b")
+    most = F.floor((F.col("n_a") + F.col("n_b")) / 9).cast("long")
+    near = F.arrow_udf(_near, "boolean")(F.col("bits_a"), F.col("bits_b"), most)
+    return pairs.filter(sizes).filter(near).select("a", "b")
+
+
+def _texts(pairs: DataFrame, owners: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the sets in pairs, from one document of each."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(owners, "node")
+    if nodes.count() <= BROADCAST_ROWS:
+        nodes = F.broadcast(nodes)
+    return docs.join(nodes, "doc_id").select("node", "text")
+
+
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The linked ones of distinct pairs (a, b). A set with very many partners is compared in several tasks."""
     spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
@@ -303,17 +355,16 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """(doc_id, n_shingles, component_id) for every row; the component is named by its smallest doc_id."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "jaccard")
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    named = _written(docs.mapInArrow(_names, "doc_id long, n_shingles long, node long"), f"{folder}/names")
+    named = _written(docs.mapInArrow(_names, "doc_id long, n_shingles long, node long, bits binary"), f"{folder}/names")
     full = named.filter(F.col("n_shingles") > 0)
-    owners = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
+    owners = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    sketches = full.select("node", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["node"])
     total = named.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0] // 2
     rows, links, level = docs.withColumn("salt", F.lit(0).cast("long")), None, 0
     while True:
         found = _written(groups(rows, level, total), f"{folder}/groups-{level}")
-        wanted = found.select(F.explode("members").alias("node")).distinct().join(owners, "node").select("node", "doc_id")
-        texts = _written(docs.join(wanted, "doc_id").select("node", "text"), f"{folder}/texts-{level}")
         stars = found.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
-        links = _more(links, compare(stars.distinct(), texts), f"{folder}/links-{level}-stars")
+        links = _more(links, _links(stars.distinct(), sketches, owners, docs, f"{folder}/stars-{level}"))
         labels = components(links, spark, f"{folder}/star-labels-{level}")
         of_groups = found.select("group", F.explode("members").alias("node")).join(labels, "node", "left").groupBy("group").agg(
             F.sort_array(F.collect_list(F.struct("node", F.coalesce("label", "node").alias("label")))).alias("m")
@@ -325,12 +376,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         small, large = mixed.filter(cost <= GROUP_PAIRS), mixed.filter(cost > GROUP_PAIRS)
         pairs = F.arrow_udf(_between, _PAIRS)(F.col("m.node"), F.col("m.label"))
         pairs = small.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
-        links = _more(links, compare(pairs, texts), f"{folder}/links-{level}")
+        links = _more(links, _links(pairs, sketches, owners, docs, f"{folder}/others-{level}"))
         if large.isEmpty():
             break
         level += 1
         again = large.select(F.col("group").alias("salt"), F.explode("m.node").alias("node"))
-        rows = again.join(texts, "node").select("text", "salt")
+        rows = again.join(owners, "node").join(docs, "doc_id").select("text", "salt")
         total = 0
     labels = components(links, spark, f"{folder}/labels")
     owner = owners.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
@@ -341,6 +392,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
-def _more(links: DataFrame | None, new: DataFrame, path: str) -> DataFrame:
-    new = _written(new, path)
+def _links(pairs: DataFrame, sketches: DataFrame, owners: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+    """The linked ones of distinct pairs, by sketches, then by the sets of one text each."""
+    pairs = _written(likely(pairs, sketches), f"{path}-pairs")
+    texts = _written(_texts(pairs, owners, docs), f"{path}-texts")
+    return _written(compare(pairs, texts), f"{path}-links")
+
+
+def _more(links: DataFrame | None, new: DataFrame) -> DataFrame:
     return new if links is None else links.unionByName(new)

@@ -30,13 +30,14 @@ ORDER = 3
 ALPHA = 0.4
 #: Bytes of text in a block, about.
 BLOCK_TEXT = 16 << 20
+_HASHED_BYTES = 1 << 20
 _U = np.uint64
 
 
 def _ngrams(texts: pa.Array, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Hashes of the n-grams that end at each word, by n; 0 where the text has too few words before. And offsets."""
     parts, sizes = [], []
-    for block in blocks(texts):
+    for block in blocks(texts, _HASHED_BYTES):
         hashes, bounds = word_hashes(block)
         parts.append(hashes)
         sizes.append(np.diff(bounds))
