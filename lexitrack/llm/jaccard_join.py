@@ -11,8 +11,9 @@ needs fewer hashes is sure to meet the other.
 
 Keys travel packed by hash bucket. Sets that share a key form a group; every group's smallest set is compared with the
 others (stars, not all pairs), by sizes and parity sketches, which rule out most pairs for sure, then exactly, components are computed, and only where a group then holds several components
-are the pairs between these compared. A large group in which that would be too many is divided by the keys of another
-hash, which linked sets share too. Nothing is capped. Equal sets are one set from the start.
+are the pairs between these compared: the nearest ones of every two components by sketch first, then more, until none
+is left that could be linked. A group too large for a task is divided by the keys of another hash, which linked sets
+share too. Nothing is capped. Equal sets are one set from the start.
 
 Words stand between ASCII white space, A-Z made small. A set has the distinct shingles of five words, or the whole
 sequence as one where there are fewer; a null text, or one without words, has none and links with nothing. Sets are
@@ -23,7 +24,7 @@ component each by their text. A null doc_id is the smallest only if there is no
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, reduce
+from functools import cache
 from math import exp, sqrt
 
 import numpy as np
@@ -35,8 +36,11 @@ from lexitrack.llm.common import blocks, mix as _mix, word_hashes
 from lexitrack.session import shared_dir
 
 SHINGLE = 5
-#: Pairs of one group that are compared at once; beyond, the group is divided.
-GROUP_PAIRS = 2000
+#: Sets of a group whose sketches are compared in one task; a larger group is divided.
+GROUP_SETS = 32_768
+#: Pairs of two components in a group that are compared in the first round; each round takes so many times more.
+ROUND_PAIRS = 32
+ROUND_GROWTH = 1024
 #: Sets compared with one other in a task.
 STAR = 64
 #: Keys in a bucket, about.
@@ -334,16 +338,51 @@ def components(links: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
         labels = moved.select("node", F.col("new").alias("label"))
 
 
-_PAIRS = "array<struct<a: long, b: long>>"
-
-
-def _between(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    """Pairs of members with different labels, but for those of the first member."""
-    for members, labels in columns:
-        out = []
-        for m, l in zip(members.to_pylist(), labels.to_pylist(), strict=True):
-            out.append([{"a": m[i], "b": m[j]} for i in range(1, len(m)) for j in range(i + 1, len(m)) if l[i] != l[j]])
-        yield pa.array(out, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])))
+def _between(limit: int):
+    def pairs(rows: pa.Table) -> pa.Table:
+        """Of one group's sets: for every two components the pairs that sketches don't rule out, nearest first, up to
+        the limit; and whether there are more."""
+        found = _unlike(rows["node"].to_numpy(), rows["label"].to_numpy(), rows["n"].to_numpy(), rows["bits"].to_pylist())
+        a, b, one, other, far = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+        low, high = np.minimum(one, other), np.maximum(one, other)
+        order = np.lexsort((far, high, low))
+        a, b, low, high = a[order], b[order], low[order], high[order]
+        fresh = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(a)]
+        rank = np.arange(len(a)) - np.maximum.accumulate(np.where(fresh, np.arange(len(a)), 0)) if len(a) else a
+        kept = rank < limit
+        more = pa.array([not kept.all()] * int(kept.sum()), pa.bool_())
+        return pa.table({"a": np.minimum(a, b)[kept], "b": np.maximum(a, b)[kept], "more": more})
+
+    return pairs
+
+
+def _unlike(node: np.ndarray, label: np.ndarray, n: np.ndarray, bits: list[bytes]) -> tuple[list, ...]:
+    """Pairs with different labels that sizes and sketches allow: nodes, labels, and how far they are at least."""
+    order = np.argsort(n, kind="stable")
+    node, label, n, bits = node[order], label[order], n[order], [bits[i] for i in order]
+    widths = np.array([len(x) for x in bits])
+    out: tuple[list, ...] = ([], [], [], [], [])
+    for width in np.unique(widths):
+        # Sizes of linked sets differ by a quarter at most, so a partner's sketch has this width or twice as much.
+        at = np.flatnonzero(widths == width)
+        wide = np.flatnonzero(widths == 2 * width)
+        own = np.frombuffer(b"".join(bits[i] for i in at), np.uint64).reshape(len(at), -1)
+        folded = np.frombuffer(b"".join(bits[i] for i in wide), np.uint64).reshape(len(wide), 2, own.shape[1])
+        every, partner = np.concatenate([at, wide]), np.concatenate([own, folded[:, 0] ^ folded[:, 1]])
+        ends = np.searchsorted(n[every], n[at] * 5 // 4, side="right")
+        for k, i in enumerate(at.tolist()):
+            later = slice(k + 1, int(ends[k]))
+            js = every[later]
+            differ = label[js] != label[i]
+            js = js[differ]
+            if not len(js):
+                continue
+            far = np.bitwise_count(partner[later][differ] ^ own[k]).sum(1, dtype=np.int64)
+            near = far <= (n[js] + n[i]) // 9
+            js, far = js[near], far[near]
+            for x, y in zip(out, (np.full(len(js), node[i]), node[js], np.full(len(js), label[i]), label[js], far), strict=True):
+                x.append(y)
+    return out
 
 
 def _written(rows: DataFrame, path: str) -> DataFrame:
@@ -351,6 +390,16 @@ def _written(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
+def _mixed(found: DataFrame, labels: DataFrame) -> DataFrame:
+    """Groups that hold several components: size and members with labels."""
+    named = found.select("group", F.explode("members").alias("node")).join(labels, "node", "left")
+    named = named.select("group", "node", F.coalesce("label", "node").alias("label"))
+    several = named.groupBy("group").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter(F.col("x") != F.col("y"))
+    return named.join(several, "group", "left_semi").groupBy("group").agg(
+        F.collect_list(F.struct("node", "label")).alias("m"), F.count("*").alias("size")
+    )
+
+
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; the component is named by its smallest doc_id."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "jaccard")
@@ -365,18 +414,18 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
         found = _written(groups(rows, level, total), f"{folder}/groups-{level}")
         stars = found.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
         links = _more(links, _links(stars.distinct(), sketches, owners, docs, f"{folder}/stars-{level}"))
-        labels = components(links, spark, f"{folder}/star-labels-{level}")
-        of_groups = found.select("group", F.explode("members").alias("node")).join(labels, "node", "left").groupBy("group").agg(
-            F.sort_array(F.collect_list(F.struct("node", F.coalesce("label", "node").alias("label")))).alias("m")
-        )
-        mixed = of_groups.withColumn("classes", F.size(F.array_distinct("m.label"))).filter(F.col("classes") > 1)
-        mixed = _written(mixed, f"{folder}/mixed-{level}")
-        # At most: pairs of all members with those outside of a class.
-        cost = F.size("m").cast("long") * (F.col("classes") - 1)
-        small, large = mixed.filter(cost <= GROUP_PAIRS), mixed.filter(cost > GROUP_PAIRS)
-        pairs = F.arrow_udf(_between, _PAIRS)(F.col("m.node"), F.col("m.label"))
-        pairs = small.select(F.explode(pairs).alias("p")).select("p.a", "p.b").distinct()
-        links = _more(links, _links(pairs, sketches, owners, docs, f"{folder}/others-{level}"))
+        limit, more = ROUND_PAIRS, True
+        while more:
+            turn = f"{level}-{limit}"
+            mixed = _mixed(found, components(links, spark, f"{folder}/labels-{turn}"))
+            mixed = _written(mixed, f"{folder}/mixed-{turn}")
+            of_sets = mixed.filter(F.col("size") <= GROUP_SETS).select("group", F.explode("m").alias("m")).select("group", "m.*")
+            pairs = of_sets.join(sketches, "node").groupBy("group").applyInArrow(_between(limit), "a long, b long, more boolean")
+            pairs = _written(pairs.groupBy("a", "b").agg(F.max("more").alias("more")), f"{folder}/pairs-{turn}")
+            more = not pairs.filter("more").isEmpty()
+            links = _more(links, _links(pairs.select("a", "b"), sketches, owners, docs, f"{folder}/others-{turn}"))
+            limit *= ROUND_GROWTH
+        large = mixed.filter(F.col("size") > GROUP_SETS)
         if large.isEmpty():
             break
         level += 1
