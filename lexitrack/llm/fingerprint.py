@@ -15,8 +15,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexitrack.session import shared_dir
-
 K = 128
 SHINGLE = 5
 _RANGE = 1 << 63
@@ -82,52 +80,31 @@ def encoded(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
-_KEY = ["row_id", "row_hash"]
-
-
-def successors(rows: DataFrame) -> DataFrame:
-    """For each distinct (row_id, row_hash) the next one in this order; after the last, the first.
-
-    Neighbours within a range partition come from a window over it; the few rows at the ends of partitions are
-    matched in a table of two rows for each partition. The windows' result is written first, so that both uses see
-    the same partitions.
-    """
-    spark = rows.sparkSession
-    order = [F.asc_nulls_first("row_id"), F.asc("row_hash")]
-    ranged = rows.select(*_KEY).distinct().repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-    window = Window.partitionBy("part").orderBy(*order)
-    this = F.struct(*_KEY)
-    path = shared_dir(spark, "successors")
-    ranged.select(
-        *_KEY, F.lead(this).over(window).alias("next"), F.lag(this).over(window).isNull().alias("first")
-    ).write.parquet(path)
-    stored = spark.read.parquet(path)
-    ends = stored.filter(F.col("next").isNull() | F.col("first"))
-    everywhere = Window.orderBy(*order)  # two rows for each partition
-    beyond = F.lead(this).over(everywhere)
-    start = F.first(this).over(everywhere.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    closing = ends.select(*_KEY, "next", F.coalesce(beyond, start).alias("other")).filter(F.col("next").isNull())
-    inner = stored.filter(F.col("next").isNotNull()).select(*_KEY, "next")
-    return inner.unionByName(closing.select(*_KEY, F.col("other").alias("next")))
-
-
 def with_next_text(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, next_text): each row with the text of the next document by id, then by a hash of the text.
+    """(doc_id, text, next_text): each row with the text of the next one by id (nulls first), then by a hash of the
+    text; the last one with that of the first. Rows that repeat id and text follow each other.
 
-    Every text is sent to its own key once and to the key of its predecessor once. Rows that repeat id and text are
-    one document to their predecessor, and each gets the same answer.
+    Rows are dealt into ranges of ids, between approximate quantiles, so every text is shuffled once. The first row of
+    each range also goes to the end of the range before.
     """
+    spark = docs.sparkSession
     rows = docs.select(
-        F.col(doc_id).alias("row_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row_hash"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-    )
-    links = successors(rows)
-    to = links.select(
-        F.col("next.row_id").alias("row_id"), F.col("next.row_hash").alias("row_hash"),
-        F.col("row_id").alias("from_id"), F.col("row_hash").alias("from_hash"),
+        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    ).withColumn("row_hash", F.xxhash64("text"))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted({int(q) for q in rows.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)})
+    steps = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
+    part = F.size(F.filter(steps, lambda c: c <= F.col("doc_id")))
+    rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), 0).otherwise(part))
+    place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "row_hash")
+    firsts = rows.groupBy("part").agg(F.min(place).alias("first"))  # a row for each range
+    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.coalesce(F.lag("part").over(Window.orderBy("part")), F.max("part").over(whole))
+    heads = firsts.select(before.alias("to"), "part", F.col("first.row_hash").alias("row_hash"), F.col("first.doc_id").alias("head"))
+    sent = rows.join(heads, ["part", "row_hash"]).filter(F.col("doc_id").eqNullSafe(F.col("head")))
+    both = rows.withColumn("sent", F.lit(False)).unionByName(
+        sent.select("doc_id", "text", "row_hash", F.col("to").alias("part"), F.lit(True).alias("sent"))
     )
-    same = [rows["row_hash"] == to["row_hash"], rows["row_id"].eqNullSafe(to["row_id"])]
-    sent = rows.join(to, same).select("from_id", "from_hash", rows["text"].alias("next_text"))
-    sent = sent.groupBy("from_hash", "from_id").agg(F.first("next_text").alias("next_text"))
-    own = [rows["row_hash"] == sent["from_hash"], rows["row_id"].eqNullSafe(sent["from_id"])]
-    return rows.join(sent, own).select(rows["row_id"].alias("doc_id"), rows["text"], "next_text")
+    order = Window.partitionBy("part").orderBy("sent", F.asc_nulls_first("doc_id"), "row_hash")
+    following = both.withColumn("next_text", F.lead("text").over(order))
+    return following.filter(~F.col("sent")).select("doc_id", "text", "next_text")
