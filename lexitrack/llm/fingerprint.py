@@ -65,7 +65,7 @@ def resemblance(a: Column, b: Column, k: int = K) -> Column:
 
 def distinct_shingles(a: Column, k: int = K) -> Column:
     """Estimated number of distinct shingles."""
-    density = (k - 1) / (F.element_at(a, F.lit(k)).cast("double") / _RANGE)
+    density = (k - 1) / (F.element_at(a, F.lit(k)).cast("double") / float(_RANGE))
     return F.when(F.size(a) < k, F.size(a).cast("double")).otherwise(density)
 
 

@@ -93,7 +93,7 @@ class Model:
 
 def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 1500, rate: float = 0.02) -> Model:
     """Minimise the non-negative risk by full-batch Adam; deterministic."""
-    width = max(positives.shape[1], unlabelled.shape[1]) if len(positives) or len(unlabelled) else _MEASURES + GRAMS
+    width = positives.shape[1]
     if not len(positives) or not len(unlabelled):
         return Model(np.zeros(width), np.ones(width), np.zeros(width), float(np.log(prior / (1 - prior))))
     mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
@@ -125,7 +125,7 @@ def _sampled(rows: DataFrame, bound: int) -> np.ndarray:
     share = min(1.0, bound / max(1, rows.count()))
     chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     found = chosen.select("text").mapInArrow(_feature_rows, "x binary").toArrow()["x"].to_pylist()
-    return np.frombuffer(b"".join(sorted(found)), np.float32).reshape(len(found), -1).astype(np.float64)
+    return np.frombuffer(b"".join(sorted(found)), np.float32).reshape(len(found), _MEASURES + GRAMS).astype(np.float64)
 
 
 def train(
