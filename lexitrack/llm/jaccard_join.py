@@ -413,7 +413,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     while True:
         found = _written(groups(rows, level, total), f"{folder}/groups-{level}")
         stars = found.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
-        links = _more(links, _links(stars.distinct(), sketches, owners, docs, f"{folder}/stars-{level}"))
+        links = _more(links, _links(likely(stars.distinct(), sketches), owners, docs, f"{folder}/stars-{level}"))
         limit, more = ROUND_PAIRS, True
         while more:
             turn = f"{level}-{limit}"
@@ -423,7 +423,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             pairs = of_sets.join(sketches, "node").groupBy("group").applyInArrow(_between(limit), "a long, b long, more boolean")
             pairs = _written(pairs.groupBy("a", "b").agg(F.max("more").alias("more")), f"{folder}/pairs-{turn}")
             more = not pairs.filter("more").isEmpty()
-            links = _more(links, _links(pairs.select("a", "b"), sketches, owners, docs, f"{folder}/others-{turn}"))
+            links = _more(links, _links(pairs.select("a", "b"), owners, docs, f"{folder}/others-{turn}"))
             limit *= ROUND_GROWTH
         large = mixed.filter(F.col("size") > GROUP_SETS)
         if large.isEmpty():
@@ -441,9 +441,9 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     )
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, owners: DataFrame, docs: DataFrame, path: str) -> DataFrame:
-    """The linked ones of distinct pairs, by sketches, then by the sets of one text each."""
-    pairs = _written(likely(pairs, sketches), f"{path}-pairs")
+def _links(pairs: DataFrame, owners: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+    """The linked ones of distinct pairs that sketches don't rule out, by the sets of one text each."""
+    pairs = _written(pairs, f"{path}-pairs")
     texts = _written(_texts(pairs, owners, docs), f"{path}-texts")
     return _written(compare(pairs, texts), f"{path}-links")
 
