@@ -130,7 +130,7 @@ def markings_import(spark, d):
 
 def anki_export(spark, d):
     path = shared_dir(spark, "anki")
-    tables.write_lines(tables.anki_export(b.words(spark, d)).filter(F.col("anki_format").isNotNull()), path)
+    tables.write_lines(tables.anki_export(b.words(spark, d)), path)
     return spark.read.text(path).withColumnRenamed("value", "anki_format")
 
 
@@ -144,6 +144,15 @@ def upsert_into_table(spark, d):
     return tables.read_markings(spark, path)
 
 
+def bulk_mark_progress(spark, d):
+    """A learner without markings marks a week; the report counts the inserted rows."""
+    words = b.words(spark, d)
+    after = maintain.bulk_mark_week(b.markings(spark, d), words, b.schedule(spark, d), "newcomer", "N1", 1, 1, b.AS_OF_MARKINGS)
+    return progress.progress_by_level(words, after, "newcomer").select(
+        "level", "total_words", F.col("marked_words").alias("newly_marked")
+    )
+
+
 def reset_in_table(spark, d):
     """One learner's level removed from the stored markings."""
     path = shared_dir(spark, "marking-table")
@@ -378,6 +387,7 @@ def queries() -> dict[str, _Query]:
         "upsert_into_table": upsert_into_table,
         "bulk_mark_week": lambda s, d: maintain.bulk_mark_week(
             mk(s, d), w(s, d), sched(s, d), u, "N1", 1, 1, b.AS_OF_MARKINGS),
+        "bulk_mark_progress": bulk_mark_progress,
         "reset_level": lambda s, d: maintain.reset_level(mk(s, d), w(s, d), u, "N1"),
         "reset_in_table": reset_in_table,
         "set_flag": lambda s, d: maintain.set_flag(

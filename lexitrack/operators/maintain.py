@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexitrack.functions.text import as_of_column
@@ -31,15 +31,25 @@ def latest_markings(log: DataFrame) -> DataFrame:
     )
 
 
+def row_id(*columns: str) -> Column:
+    """An id from the columns that name a row, the same in every run and above any id that counts rows.
+
+    It has 60 bits of a digest, so two of a hundred million new rows share one with a chance of one in two hundred.
+    """
+    named = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long") + F.lit(1 << 60)
+
+
 def upsert_markings(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Insert or overwrite on (user, word). An incoming row beats the stored one and keeps its id."""
+    """Insert or overwrite on (user, word). An incoming row beats the stored one and keeps its id; a new row without
+    an id gets one from its key."""
     if "id" not in incoming.columns:
         incoming = incoming.withColumn("id", F.lit(None).cast("long"))
     columns = ["id", *_KEY, "marking", "updated_at"]
     log = stored.select(*columns, F.lit(0).alias("batch")).unionByName(
         incoming.select(*columns, F.lit(1).alias("batch"))
     )
-    return latest_markings(log)
+    return latest_markings(log).withColumn("id", F.coalesce("id", row_id(*_KEY)))
 
 
 def week_markings(
@@ -66,12 +76,12 @@ def bulk_mark_week(
 
 
 def reset_level(markings: DataFrame, words: DataFrame, user_id: str, level: str) -> DataFrame:
-    """The markings without one user's rows of a level. Other users' rows pass without a join."""
-    others = markings.filter(F.col("user_id") != user_id)
-    kept = markings.filter(F.col("user_id") == user_id).join(
-        words.filter(F.col("level") == level).select(F.col("id").alias("word_id")), "word_id", "left_anti"
+    """The markings without one user's rows of a level; rows of nobody stay. One scan, one anti join."""
+    of_level = words.filter(F.col("level") == level).select(
+        F.lit(user_id).alias("gone_user"), F.col("id").alias("gone_word")
     )
-    return others.unionByName(kept)
+    gone = (F.col("user_id") == F.col("gone_user")) & (F.col("word_id") == F.col("gone_word"))
+    return markings.join(of_level, gone, "left_anti")
 
 
 def set_flag(words: DataFrame, kanji: str, marked: bool = True) -> DataFrame:
@@ -119,9 +129,15 @@ def apply_defaults(rows: DataFrame, table: str, as_of: datetime | str | None = N
 
 
 def append_progress(progress: DataFrame, entries: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
-    """The review log with new entries; absent columns get their default or NULL."""
+    """The review log with new entries; absent columns get their default or NULL.
+
+    An entry without an id gets one from its word, day and result, and its number among entries that are alike.
+    """
     entries = apply_defaults(entries, "study_progress", as_of)
     for f in STUDY_PROGRESS.fields:
         if f.name not in entries.columns:
             entries = entries.withColumn(f.name, F.lit(None).cast(f.dataType))
+    alike = ["vocabulary_id", "review_date", "result"]
+    number = F.row_number().over(Window.partitionBy(*alike).orderBy(F.col("id"), "created_at", "notes"))
+    entries = entries.withColumn("number", number).withColumn("id", F.coalesce("id", row_id(*alike, "number")))
     return progress.unionByName(entries.select(*STUDY_PROGRESS.fieldNames()))

@@ -127,8 +127,8 @@ cand AS (
     {analysed if forms else ''}
     UNION ALL SELECT key, 4, r.pos, 0, left(c, length(c) - 1) || r.suffix, r.display
       FROM h JOIN rules r ON right(c, 1) = r.ending WHERE length(c) > 1 OR c = 'な'
-    UNION ALL SELECT key, 7, p.pos, i, string_split(c, p.particle)[i], ''
-      FROM h JOIN particles p ON contains(c, p.particle), range(1, 100) AS n(i) WHERE i <= len(string_split(c, p.particle))
+    UNION ALL SELECT key, 7, p.pos, generate_subscripts(string_split(c, p.particle), 1), unnest(string_split(c, p.particle)), ''
+      FROM h JOIN particles p ON contains(c, p.particle)
     {dropped if variant.drops_particle else ''}
   ) WHERE form <> '')"""
 
@@ -217,6 +217,12 @@ def _quiz(question: str, answer: str) -> str:
 FROM words WHERE id IN (SELECT vocabulary_id FROM progress WHERE result = 'incorrect')"""
 
 
+def _new_id(*columns: str) -> str:
+    """The id of an inserted row."""
+    named = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"CAST('0x' || left(md5({named}), 15) AS BIGINT) + {1 << 60}"
+
+
 def oracle_sql() -> dict[str, str]:
     days = "CAST(ts AS DATE)"
     due = f"updated_at < TIMESTAMP '{b.AS_OF_MARKINGS}' - INTERVAL 3 DAY"
@@ -243,8 +249,8 @@ FROM days d LEFT JOIN named n ON d.week = n.week AND d.day = n.day GROUP BY d.id
         "markings_import": _with(MARKINGS) + f"""SELECT id, user_id, word_id,
   CASE WHEN user_id = '{U}' THEN (marking + 1) % 6 ELSE marking END AS marking,
   CASE WHEN user_id = '{U}' THEN TIMESTAMP '{b.AS_OF_MARKINGS}' ELSE updated_at END AS updated_at FROM markings""",
-        "anki_export": _with(WORDS) + """SELECT kanji || chr(9) || hiragana || ' - ' || meaning_en AS anki_format FROM words
-WHERE hiragana IS NOT NULL ORDER BY ref_no, id""",
+        "anki_export": _with(WORDS) + """SELECT coalesce(kanji || chr(9) || hiragana || ' - ' || meaning_en, '') AS anki_format FROM words
+ORDER BY ref_no, id""",
         "example_export": _with(WORDS) + f"""SELECT kanji, hiragana, meaning_en, coalesce(full_sentence, {_EXAMPLE}) AS example
 FROM words WHERE full_sentence IS NOT NULL OR example_before IS NOT NULL ORDER BY ref_no""",
         "vocab_with_markings_export": _with(WORDS, MARKINGS) + f"""SELECT v.id AS word_id, level, kanji, hiragana, meaning_en, coalesce(m.marking, 0) AS marking
@@ -374,7 +380,7 @@ FROM markings m LEFT JOIN (SELECT user_id, word_id, min(id) AS id FROM log WHERE
   ON m.user_id = o.user_id AND m.word_id = o.word_id""",
         "bulk_mark_week": _with(WORDS, SCHEDULE, MARKINGS, "w AS (SELECT v.id FROM words v JOIN schedule s ON v.schedule_id = s.id WHERE level = 'N1' AND week = 1)") + f"""
 SELECT * FROM markings WHERE user_id <> '{U}' OR word_id NOT IN (SELECT id FROM w)
-UNION ALL SELECT m.id, '{U}', w.id, 1, TIMESTAMP '{b.AS_OF_MARKINGS}' FROM w LEFT JOIN {own} m ON m.word_id = w.id""",
+UNION ALL SELECT coalesce(m.id, {_new_id(f"'{U}'", "w.id")}), '{U}', w.id, 1, TIMESTAMP '{b.AS_OF_MARKINGS}' FROM w LEFT JOIN {own} m ON m.word_id = w.id""",
         "reset_level": _with(WORDS, MARKINGS) + f"SELECT * FROM markings WHERE NOT (user_id = '{U}' AND word_id IN (SELECT id FROM words WHERE level = 'N1'))",
         "reset_in_table": _with(WORDS, MARKINGS) + f"SELECT * FROM markings WHERE NOT (user_id = '{U}' AND word_id IN (SELECT id FROM words WHERE level = 'N1'))",
         "set_flag": _with(STUDY) + "SELECT id, kanji, CASE kanji WHEN 'red bolt' THEN TRUE WHEN 'blue rod' THEN FALSE ELSE is_marked END AS is_marked FROM study",
@@ -384,7 +390,12 @@ UNION ALL SELECT m.id, '{U}', w.id, 1, TIMESTAMP '{b.AS_OF_MARKINGS}' FROM w LEF
   FROM progress p JOIN words v ON v.id = p.vocabulary_id) c ON s.kanji = c.kanji AND c.rn = 1""",
         "record_review": _with(STUDY) + "SELECT id, times_reviewed, last_reviewed FROM study",
         "append_progress": _with(PROGRESS, MARKINGS) + f"""SELECT id, vocabulary_id, review_date, result, notes, created_at FROM progress
-UNION ALL SELECT NULL, word_id, CAST(updated_at AS DATE), CASE WHEN marking = 5 THEN 'incorrect' ELSE 'correct' END, NULL, TIMESTAMP '{b.AS_OF_REVIEWS}' FROM markings""",
+UNION ALL SELECT {_new_id("word_id", "day", "result", "row_number() OVER (PARTITION BY word_id, day, result)")}, word_id, day, result, NULL,
+  TIMESTAMP '{b.AS_OF_REVIEWS}' FROM (
+    SELECT word_id, CAST(updated_at AS DATE) AS day, CASE WHEN marking = 5 THEN 'incorrect' ELSE 'correct' END AS result FROM markings)""",
+        "bulk_mark_progress": _with(WORDS, SCHEDULE, MARKINGS) + f"""SELECT v.level, count(DISTINCT v.id) AS total_words,
+  count(DISTINCT v.id) FILTER (level = 'N1' AND s.week = 1) AS newly_marked FROM words v LEFT JOIN schedule s ON v.schedule_id = s.id
+GROUP BY v.level""",
         "check_not_null": _with(_enriched()) + " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", count(*) FILTER ({c} IS NULL) AS violations FROM enriched" for c in ("level", "kanji", "full_sentence", "page_no")),
         "check_unique": _with(LOG) + "SELECT user_id, word_id, count(*) AS count FROM log GROUP BY user_id, word_id HAVING count(*) > 1",

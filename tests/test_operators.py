@@ -175,7 +175,7 @@ def test_upsert(frame, markings):
     got = {(r["user_id"], r["word_id"]): r for r in maintain.upsert_markings(markings, incoming).collect()}
     assert len(got) == 7
     assert (got["a", 1]["marking"], got["a", 1]["id"], got["a", 1]["updated_at"]) == (2, 1, T0 - dt.timedelta(days=9))
-    assert (got["a", 7]["marking"], got["a", 7]["id"]) == (4, None)
+    assert got["a", 7]["marking"] == 4 and got["a", 7]["id"] >= 1 << 60
     assert (got["b", 1]["marking"], got["b", 1]["id"]) == (None, 5)
     assert got["a", 3]["marking"] == 3
 
@@ -197,6 +197,11 @@ def test_bulk_mark_and_reset(words, markings, schedule):
     assert left.filter("user_id = 'b'").count() == 2
 
 
+def test_reset_keeps_rows_of_nobody(frame, words):
+    markings = frame(MARKINGS, [(1, "a", 1, 5, T0), (2, None, 1, 5, T0), (3, "b", 1, 5, T0), (4, "a", None, 5, T0)])
+    assert sorted(r["id"] for r in maintain.reset_level(markings, words, "a", "N1").collect()) == [2, 3, 4]
+
+
 def test_flags(frame, study_words):
     flags = lambda df: {r["id"]: r["is_marked"] for r in df.collect()}
     assert flags(maintain.set_flag(study_words, "食べる")) == {1: True, 2: False, 3: False, 4: None, 5: True}
