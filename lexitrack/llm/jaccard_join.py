@@ -340,10 +340,20 @@ def components(links: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
 
 def _between(limit: int):
     def pairs(rows: pa.Table) -> pa.Table:
-        """Of one group's sets: for every two components the pairs that sketches don't rule out, nearest first, up to
-        the limit; and whether there are more."""
-        found = _unlike(rows["node"].to_numpy(), rows["label"].to_numpy(), rows["n"].to_numpy(), rows["bits"].to_pylist())
+        """Of the groups with one smallest set: for every two components the pairs that sketches don't rule out,
+        nearest first, up to the limit; and whether there are more. A pair of several of these groups counts once."""
+        rows = rows.sort_by("group")
+        group = rows["group"].to_numpy()
+        cuts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        found: tuple[list, ...] = ([], [], [], [], [])
+        for start, end in zip(cuts, np.append(cuts[1:], len(group)), strict=True):
+            own = rows.slice(start, end - start)
+            of_group = _unlike(own["node"].to_numpy(), own["label"].to_numpy(), own["n"].to_numpy(), own["bits"].to_pylist())
+            for x, y in zip(found, of_group, strict=True):
+                x += y
         a, b, one, other, far = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+        _, once = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1, return_index=True)
+        a, b, one, other, far = a[once], b[once], one[once], other[once], far[once]
         low, high = np.minimum(one, other), np.maximum(one, other)
         order = np.lexsort((far, high, low))
         a, b, low, high = a[order], b[order], low[order], high[order]
@@ -396,7 +406,7 @@ def _mixed(found: DataFrame, labels: DataFrame) -> DataFrame:
     named = named.select("group", "node", F.coalesce("label", "node").alias("label"))
     several = named.groupBy("group").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter(F.col("x") != F.col("y"))
     return named.join(several, "group", "left_semi").groupBy("group").agg(
-        F.collect_list(F.struct("node", "label")).alias("m"), F.count("*").alias("size")
+        F.collect_list(F.struct("node", "label")).alias("m"), F.count("*").alias("size"), F.min("node").alias("hub")
     )
 
 
@@ -419,8 +429,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             turn = f"{level}-{limit}"
             mixed = _mixed(found, components(links, spark, f"{folder}/labels-{turn}"))
             mixed = _written(mixed, f"{folder}/mixed-{turn}")
-            of_sets = mixed.filter(F.col("size") <= GROUP_SETS).select("group", F.explode("m").alias("m")).select("group", "m.*")
-            pairs = of_sets.join(sketches, "node").groupBy("group").applyInArrow(_between(limit), "a long, b long, more boolean")
+            of_sets = mixed.filter(F.col("size") <= GROUP_SETS).select("group", "hub", F.explode("m").alias("m")).select("group", "hub", "m.*")
+            pairs = of_sets.join(sketches, "node").groupBy("hub").applyInArrow(_between(limit), "a long, b long, more boolean")
             pairs = _written(pairs.groupBy("a", "b").agg(F.max("more").alias("more")), f"{folder}/pairs-{turn}")
             more = not pairs.filter("more").isEmpty()
             links = _more(links, _links(pairs.select("a", "b"), owners, docs, f"{folder}/others-{turn}"))
