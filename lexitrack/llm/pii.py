@@ -30,6 +30,11 @@ KINDS = (*BASE, "term")
 DISCLOSURE = 0.5
 MIN_BITS = 6.0
 MIN_CONTEXTS = 3
+#: A term's texts are counted in one of so many slices before all of them.
+SLICES = 16
+#: Terms of up to so many bytes are broadcast.
+BROADCAST_BYTES = 32 << 20
+_ROUNDING = 1e-9
 
 _LOCAL = "[A-Za-z0-9._%+-]"
 _PATTERNS = {
@@ -175,8 +180,11 @@ def disclosing_terms(
 ) -> DataFrame:
     """Terms that disclose an entity, from rows with a key of the text, and the text: the term alone.
 
-    Counts are aggregates, so a frequent entity or term reaches a reducer as one row for each task and text.
+    Counts are aggregates, so a frequent entity or term reaches a reducer as one row for each task and text. A term
+    is counted in all texts only if it can still disclose: an entity must be rare enough to tell ``min_bits`` of it, and
+    where the term occurs in more texts of one slice of the keys than it may in all, it discloses nothing.
     """
+    spark, folder = texts.sparkSession, shared_dir(texts.sparkSession, "disclosing")
     entities = _entities(texts)
     often = entities.groupBy("entity").agg(
         F.count_distinct("line").alias("lines"), F.count_distinct(*_KEY).alias("n_entity")
@@ -187,19 +195,31 @@ def disclosing_terms(
     together = pairs.groupBy("entity", "term").agg(
         F.count_distinct("line").alias("contexts"), F.count_distinct(*_KEY).alias("n_both")
     ).filter((F.col("contexts") >= min_contexts) & F.col("term").isNotNull()).join(often, "entity")
-    candidates = together.select("term").distinct()
-    alone = occurrences(texts, candidates).groupBy("term").agg(F.count_distinct(*_KEY).alias("n_term"))
     all_texts = max(1, texts.select(*_KEY).distinct().count())
+    share = F.col("n_entity") / all_texts
+    together = _written(together.filter(F.log2(1 / share) >= min_bits - _ROUNDING), f"{folder}/together")
+    most = _written(together.groupBy("term").agg(F.max("n_both").alias("most")), f"{folder}/most")
+    in_slice = occurrences(texts.filter(F.col(_KEY[1]) % SLICES == 0), most.select("term")).groupBy("term").agg(
+        F.count_distinct(*_KEY).alias("n_slice")
+    )
+    too_many = F.coalesce("n_slice", F.lit(0)) * disclosure > F.col("most") + _ROUNDING
+    candidates = _written(most.join(in_slice, "term", "left").filter(~too_many).select("term"), f"{folder}/candidates")
+    alone = occurrences(texts, candidates).groupBy("term").agg(F.count_distinct(*_KEY).alias("n_term"))
     likely = F.col("n_both") / F.col("n_term")
-    told = F.log2(likely / (F.col("n_entity") / all_texts))
     judged = together.join(alone, "term")
-    return judged.filter((likely >= disclosure) & (told >= min_bits)).select("term").distinct()
+    return judged.filter((likely >= disclosure) & (F.log2(likely / share) >= min_bits)).select("term").distinct()
+
+
+def _written(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def occurrences(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """Text key and term wherever one of the terms occurs."""
+    """Text key and term wherever one of the terms, stored ones, occurs. Terms beyond ``BROADCAST_BYTES`` are shuffled."""
     words = texts.select(*_KEY, F.explode_outer(_terms(F.col("text"))).alias("term"))
-    return words.join(terms, "term", "left_semi")
+    size = terms.agg(F.coalesce(F.sum(F.octet_length("term") + 64), F.lit(0))).first()[0]
+    return words.join(F.broadcast(terms) if size <= BROADCAST_BYTES else terms, "term", "left_semi")
 
 
 def find(docs: DataFrame, text: str = "text", out: str = "spans", **thresholds) -> DataFrame:
