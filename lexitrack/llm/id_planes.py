@@ -37,6 +37,8 @@ from lexitrack.session import shared_dir
 VOCABULARY = "word_bpe_49k.json"
 TEXT_BYTES = 8 << 20
 BLOCK_IDS = 1 << 16
+#: Rows of an index, of three numbers each, that are broadcast.
+BROADCAST_BLOCKS = 1_000_000
 END_ID = 1
 LEVEL = 1
 
@@ -198,12 +200,12 @@ def write_ids(docs: DataFrame, folder: str, path: str | None = None, kind: str =
     ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(_writer(path, kind), _BLOCK_DDL).write.option("compression", "none").parquet(f"{folder}/blocks")
     stored = docs.sparkSession.read.parquet(f"{folder}/blocks")
+    sizes = stored.select("part", "block", "first", "n", F.transform("planes", F.length).alias("plane_bytes"))
     parts = stored.groupBy("part").agg(F.sum("n").alias("ids"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
     parts = parts.select("part", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("before"))
-    index = stored.join(parts, "part").select(
-        "part", "block", (F.col("before") + F.col("first")).alias("start"), "n",
-        F.transform("planes", F.length).alias("plane_bytes"),
+    index = sizes.join(parts, "part").select(
+        "part", "block", (F.col("before") + F.col("first")).alias("start"), "n", "plane_bytes"
     )
     index.write.parquet(f"{folder}/index")
 
@@ -243,9 +245,14 @@ def _joined_crc(pieces: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def read_documents(spark: SparkSession, folder: str, kind: str = "byte") -> DataFrame:
-    """Per document, from the files: doc_id, start, n_tokens, ids_crc32. Blocks are read in any order."""
+    """Per document, from the files: doc_id, start, n_tokens, ids_crc32. Blocks are read in any order.
+
+    An index of up to ``BROADCAST_BLOCKS`` rows goes to the blocks, which stay where they are read.
+    """
     stored = spark.read.parquet(f"{folder}/blocks").select("part", "block", "n", "planes", "pieces")
     index = spark.read.parquet(f"{folder}/index").select("part", "block", "start")
+    if index.count() <= BROADCAST_BLOCKS:
+        index = F.broadcast(index)
     pieces = stored.join(index, ["part", "block"]).select("part", "start", "n", "planes", "pieces").mapInArrow(
         _reader(kind), "part int, row long, doc_id long, piece long, start long, n long, crc long"
     )
