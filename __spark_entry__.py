@@ -52,27 +52,45 @@ def _enriched(spark, d, variant=CURRENT):
     return ingest.enrich(_valid(spark, d), variant)
 
 
-def _write_sheet(rows, path):
-    rows.write.options(header=True, quote='"', escape='"').options(
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(path)
+_CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def _titled_sheet(rows, level, path, line=lambda text: text):
+    """Sheet files of one level, a title line and the header on top of each; ``line`` may change a row's text."""
+    cells = [c for c in rows.columns if c != "level"]
+    title = b.TITLE + "," * (len(cells) - 1)
+    text = line(F.to_csv(F.struct(*[f"`{c}`" for c in cells]), _CSV))
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of a task, so of a file
+    top = F.concat(F.lit("\n".join([title, ",".join(cells), ""])), text)
+    rows = rows if level is None else rows.filter(F.col("level") == level)
+    rows.select(F.when(first, top).otherwise(text)).write.text(path)
 
 
 def read_sheet(spark, d):
+    """The sheet below a title line, with one row that has the title's cells."""
     path = shared_dir(spark, "sheet")
-    _write_sheet(b.sheet(spark, d).drop("level"), path)
-    return sheets.read_sheet(spark, path, header_row=0).drop(sheets.BAD_ROW).toDF(*_SHEET)
+    alike = spark.range(1).select(F.lit(b.TITLE).alias("Sr no"))
+    _titled_sheet(b.sheet(spark, d).unionByName(alike, allowMissingColumns=True), None, path)
+    return sheets.read_sheet(spark, path).drop(sheets.BAD_ROW).toDF(*_SHEET)
 
 
 def load_levels(spark, d):
     root = shared_dir(spark, "levels")
-    sheet = b.sheet(spark, d)
-    for level in _LEVELS:
-        _write_sheet(sheet.filter(F.col("level") == level).drop("level"), f"{root}/{level}")
-    paths = {level: f"{root}/{level}" for level in (*_LEVELS, "N4")}  # there is no N4 sheet
+    b.sheet(spark, d).write.options(header=True, **_CSV).partitionBy("level").csv(root)
+    paths = {level: f"{root}/level={level}" for level in (*_LEVELS, "N4")}  # there is no N4 sheet
     return sheets.load_levels(spark, paths, header_row=0).toDF(*_SHEET, "level")
 
 
+def load_rejects(spark, d):
+    """The rows of one source have a cell too many: their number, as it stands in the rejected text."""
+    root, rows = shared_dir(spark, "rejects"), b.sheet(spark, d)
+    wide = F.col("`Supporting word 1`") == f"before {b.WIDE_SOURCE}"
+    for level in _LEVELS:
+        _titled_sheet(rows, level, f"{root}/{level}", lambda text: F.when(wide, F.concat(text, F.lit(",x"))).otherwise(text))
+    rejects = sheets.load_rejects(spark, {level: f"{root}/{level}" for level in _LEVELS})
+    return rejects.select("level", F.substring_index(sheets.BAD_ROW, ",", 1).alias("sr_no"))
+
+
 def valid_rows(spark, d):
     return sheets.valid_rows(b.sheet(spark, d)).drop("level").toDF(*_SHEET)
 
@@ -103,10 +121,18 @@ def schedule_dim(spark, d):
 
 def vocab_sink(spark, d):
     path = shared_dir(spark, "vocabulary")
-    tables.write_vocabulary(ingest.ingest(_valid(spark, d), b.schedule(spark, d)).drop("created_at"), path)
+    words = ingest.ingest(_valid(spark, d), b.schedule(spark, d), as_of=b.AS_OF_REVIEWS)
+    tables.write_vocabulary(ingest.distinct_ids(words), path)
     return tables.read_vocabulary(spark, path)
 
 
+def distinct_ids(spark, d):
+    """Every sheet row twice: as many ids as rows."""
+    rows = _valid(spark, d)
+    words = ingest.distinct_ids(ingest.ingest(rows.unionByName(rows), b.schedule(spark, d), as_of=b.AS_OF_REVIEWS))
+    return words.agg(F.count("*").alias("words"), F.count_distinct("id").alias("ids"))
+
+
 def _script_round_trip(variant, with_level):
     def run(spark, d):
         stored, path = shared_dir(spark, "enriched"), shared_dir(spark, "script")
@@ -140,10 +166,17 @@ def upsert_into_table(spark, d):
     log = b.marking_log(spark, d)
     cut = text.as_of_column(b.AS_OF_MARKINGS)
     tables.write_markings(maintain.latest_markings(log.filter(F.col("updated_at") < cut)), path, buckets=8)
-    tables.upsert_into(spark, path, maintain.latest_markings(log.filter(F.col("updated_at") >= cut)), buckets=8)
+    tables.upsert_into(spark, path, maintain.latest_markings(log.filter(F.col("updated_at") >= cut)))
     return tables.read_markings(spark, path)
 
 
+def upsert_markings(spark, d):
+    """Stored markings of the later half of the change log, and the earlier half, older times and repeated keys, as the batch."""
+    log, cut = b.marking_log(spark, d), text.as_of_column(b.AS_OF_MARKINGS)
+    stored = maintain.latest_markings(log.filter(F.col("updated_at") >= cut))
+    return maintain.upsert_markings(stored, log.filter(F.col("updated_at") < cut))
+
+
 def bulk_mark_progress(spark, d):
     """A learner without markings marks a week; the report counts the inserted rows."""
     words = b.words(spark, d)
@@ -158,9 +191,7 @@ def reset_in_table(spark, d):
     path = shared_dir(spark, "marking-table")
     words = b.words(spark, d)
     tables.write_markings(b.markings(spark, d), path, buckets=8)
-    tables.rewrite_user(
-        spark, path, b.USER, lambda rows: maintain.reset_level(rows, words, b.USER, "N1"), buckets=8
-    )
+    tables.rewrite_user(spark, path, b.USER, lambda rows: maintain.reset_level(rows, words, b.USER, "N1"))
     return tables.read_markings(spark, path)
 
 
@@ -271,10 +302,12 @@ def queries() -> dict[str, _Query]:
         # sources and sinks
         "read_sheet": read_sheet,
         "load_levels": load_levels,
+        "load_rejects": load_rejects,
         "valid_rows": valid_rows,
         "conform_schema": conform_schema,
         "schedule_dim": schedule_dim,
         "vocab_sink": vocab_sink,
+        "distinct_ids": distinct_ids,
         "insert_script_export": lambda s, d: scripts.insert_tuples(_enriched(s, d)),
         "insert_script_import": _script_round_trip(CURRENT, True),
         "insert_script_import_first": _script_round_trip(FIRST, False),
@@ -383,7 +416,8 @@ def queries() -> dict[str, _Query]:
         "lemma_forms": lemma_forms,
         "split_with_forms": split_with_forms,
         # table maintenance
-        "upsert_markings": mk,
+        "latest_markings": mk,
+        "upsert_markings": upsert_markings,
         "upsert_into_table": upsert_into_table,
         "bulk_mark_week": lambda s, d: maintain.bulk_mark_week(
             mk(s, d), w(s, d), sched(s, d), u, "N1", 1, 1, b.AS_OF_MARKINGS),
@@ -408,6 +442,9 @@ def queries() -> dict[str, _Query]:
         "check_table_vocabulary": lambda s, d: quality.check_table(w(s, d), "vocabulary"),
         "check_foreign_key": lambda s, d: quality.check_foreign_key(
             b.marking_log(s, d), "word_id", b.table(s, d, "customer").select(F.col("c_custkey").alias("id"))),
+        "check_table_schedule": lambda s, d: quality.check_table(sched(s, d), "schedule"),
+        "check_foreign_key_schedule": lambda s, d: quality.check_foreign_key(w(s, d), "schedule_id", sched(s, d)),
+        "check_foreign_key_progress": lambda s, d: quality.check_foreign_key(pg(s, d), "vocabulary_id", w(s, d)),
         "check_length": lambda s, d: quality.check_length(
             w(s, d), {**MAX_LENGTHS["vocabulary"], "meaning_en": 15}),
         "apply_defaults": lambda s, d: maintain.apply_defaults(

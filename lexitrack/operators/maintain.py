@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexitrack.functions.text import as_of_column
 from lexitrack.schema import DEFAULTS, NOW, STUDY_PROGRESS
 
 _KEY = ["user_id", "word_id"]
+# Copies of a row are numbered in blocks of so many, by several tasks.
+_BLOCK = 1 << 16
 
 
 def latest_markings(log: DataFrame) -> DataFrame:
@@ -40,6 +42,19 @@ def row_id(*columns: str) -> Column:
     return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long") + F.lit(1 << 60)
 
 
+def number_copies(rows: DataFrame) -> DataFrame:
+    """Every row with its number ``nth`` among equal rows, from 1.
+
+    Equal rows are counted and shuffled as one, so no window sends all copies of a row to one task.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+    last = F.expr(f"(copies - 1) div {_BLOCK}")
+    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    start = F.col("block") * _BLOCK
+    numbers = F.sequence(start + 1, F.least(start + _BLOCK, F.col("copies")))
+    return blocks.repartition("block", *rows.columns).select(*rows.columns, F.explode(numbers).alias("nth"))
+
+
 def upsert_markings(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     """Insert or overwrite on (user, word). An incoming row beats the stored one and keeps its id; a new row without
     an id gets one from its key."""
@@ -131,13 +146,12 @@ def apply_defaults(rows: DataFrame, table: str, as_of: datetime | str | None = N
 def append_progress(progress: DataFrame, entries: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """The review log with new entries; absent columns get their default or NULL.
 
-    An entry without an id gets one from its word, day and result, and its number among entries that are alike.
+    An entry without an id gets one from its cells and its number among equal entries.
     """
     entries = apply_defaults(entries, "study_progress", as_of)
     for f in STUDY_PROGRESS.fields:
         if f.name not in entries.columns:
             entries = entries.withColumn(f.name, F.lit(None).cast(f.dataType))
-    alike = ["vocabulary_id", "review_date", "result"]
-    number = F.row_number().over(Window.partitionBy(*alike).orderBy(F.col("id"), "created_at", "notes"))
-    entries = entries.withColumn("number", number).withColumn("id", F.coalesce("id", row_id(*alike, "number")))
+    named = row_id("vocabulary_id", "review_date", "result", "notes", "created_at", "nth")
+    entries = number_copies(entries.select(*STUDY_PROGRESS.fieldNames())).withColumn("id", F.coalesce("id", named))
     return progress.unionByName(entries.select(*STUDY_PROGRESS.fieldNames()))

@@ -64,12 +64,9 @@ def check_foreign_key(rows: DataFrame, column: str, parent: DataFrame, parent_ke
 
 
 def orphaned_markings(markings: DataFrame, words: DataFrame) -> DataFrame:
-    """Marking rows whose word does not exist.
-
-    The words are compared with the distinct marked words; the whole rows then meet only the few missing ones.
-    """
-    missing = missing_keys(markings, "word_id", words).select("word_id")
-    return markings.join(missing, "word_id", "left_semi").select(*markings.columns)
+    """Marking rows whose word does not exist: one scan, one anti join. A NULL word is no orphan."""
+    marked = markings.filter(F.col("word_id").isNotNull())
+    return marked.join(words.select(F.col("id").alias("word_id")), "word_id", "left_anti").select(*markings.columns)
 
 
 def owner_scope(markings: DataFrame, owner: str) -> DataFrame:

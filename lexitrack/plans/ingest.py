@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexitrack.functions.conjugation import CURRENT, Variant
 from lexitrack.functions.enrich import difficulty, lecture_day, lecture_week, word_type
 from lexitrack.functions.split import clean_headword, split_sentence
-from lexitrack.functions.text import blank_to_null, strip, to_int, zero_to_null
+from lexitrack.functions.text import as_of_column, blank_to_null, strip, to_int, zero_to_null
+from lexitrack.operators.maintain import number_copies, row_id
 from lexitrack.schema import VOCABULARY
 
 _SPLIT = "split"
+# The sheet's own cells: they name a word that has no number.
+_CELLS = ("level", "ref_no", "kanji", "hiragana", "meaning_en", "hint", "full_sentence", "page_no", "week", "day")
 
 
 def lemma_forms(tokens: DataFrame) -> DataFrame:
@@ -101,11 +106,29 @@ def level_id(level: Column, ref_no: Column, levels: tuple[str, ...] = ("N1", "N2
 
 
 def ingest(
-    rows: DataFrame, schedule: DataFrame, variant: Variant = CURRENT, levels: tuple[str, ...] = ("N1", "N2", "N3")
+    rows: DataFrame, schedule: DataFrame, variant: Variant = CURRENT, levels: tuple[str, ...] = ("N1", "N2", "N3"),
+    as_of: datetime | str | None = None,
 ) -> DataFrame:
-    """The vocabulary table of valid, level-tagged sheet rows."""
+    """The vocabulary table of valid, level-tagged sheet rows.
+
+    A word without a number, or of a level that is not listed, gets an id from its cells. ``distinct_ids`` gives
+    words of one id different ones.
+    """
     words = resolve_schedule(enrich(rows, variant), schedule)
-    words = words.withColumn("id", level_id(F.col("level"), F.col("ref_no"), levels)).withColumn(
-        "created_at", F.localtimestamp()
-    )
+    numbered = level_id(F.col("level"), F.col("ref_no"), levels)
+    words = words.withColumn("id", F.coalesce(numbered, row_id(*_CELLS))).withColumn("created_at", as_of_column(as_of))
     return words.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in VOCABULARY.fields])
+
+
+def distinct_ids(words: DataFrame) -> DataFrame:
+    """The words with an id each: where several have one id, all of them get ids of their whole rows.
+
+    Equal rows are told apart by their number among each other. Where no id repeats, nothing but the count is run.
+    """
+    repeated = words.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("id")
+    if repeated.isEmpty():
+        return words
+    named = [c for c in words.columns if c not in ("id", "created_at")]
+    copies = number_copies(words.join(repeated, "id", "left_semi").select(*words.columns))
+    told_apart = copies.withColumn("id", row_id(*named, "nth")).select(*words.columns)
+    return words.join(repeated, "id", "left_anti").select(*words.columns).unionByName(told_apart)

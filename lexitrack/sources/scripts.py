@@ -24,6 +24,8 @@ _TAIL = """;
 
 COMMIT;"""
 
+_END = ")\n;\n"
+
 # A noncharacter: never part of stored text.
 _MARK = "\uffff"
 
@@ -129,9 +131,13 @@ def _tokens(record: Column) -> Column:
 def read_script(spark: SparkSession, path: str, with_level: bool = True) -> DataFrame:
     """Read a script back into typed rows, the schedule as (week, day).
 
-    The text before the first tuple and after the last one is dropped.
+    A script may hold several INSERT statements. The text before, between and after their tuples is dropped.
     """
     value = F.col("value")
+    # Where one statement ends and the next begins, a record holds the last tuple of the one and the first of the other.
+    pieces = F.when(
+        F.contains(value, F.lit(_END)), F.split(value, r"\)\n;\n(?s:.*?)\) VALUES\n    \(")
+    ).otherwise(F.array(value))
     # Whole records are only searched for the script's end; the rest looks at the ends of a record.
     frame = value.startswith("--") | value.startswith("BEGIN") | value.startswith("INSERT") | value.startswith(";")
     opening = ") VALUES\n    ("
@@ -140,7 +146,7 @@ def read_script(spark: SparkSession, path: str, with_level: bool = True) -> Data
         .when(value.startswith("    ("), F.substr(value, F.lit(6)))
         .otherwise(value)
     )
-    record = F.substring_index(record, ")\n;\n", 1)
+    record = F.substring_index(record, _END, 1)
     open_end = record.endswith("\n") | record.endswith(",") | record.endswith(")")
     record = F.when(open_end, F.rtrim(record, F.lit("), \r\n"))).otherwise(record)
     names = [f for f in FIELDS if with_level or f != "level"]
@@ -148,7 +154,7 @@ def read_script(spark: SparkSession, path: str, with_level: bool = True) -> Data
         F.raise_error(F.concat(F.lit("no vocabulary tuple: "), F.array_join("t", " | ")))
     )
     rows = (
-        spark.read.option("lineSep", SEPARATOR).text(path)
+        spark.read.option("lineSep", SEPARATOR).text(path).select(F.explode(pieces).alias("value"))
         .filter((F.col("value") != "") & (~frame | F.contains("value", F.lit(opening))))
         .select(let(record, _tokens).alias("t"))
         .select(complete.alias("t"))

@@ -23,8 +23,10 @@ log = logging.getLogger(__name__)
 def read_sheet(spark: SparkSession, path: str, header_row: int = 1, multi_line: bool = False) -> DataFrame:
     """Read a sheet whose column names stand in row ``header_row`` (counted from 0).
 
-    Only the lines up to the header are looked at on the driver. Rows that do not fit the header keep their
-    text in ``bad_row``. Cells that hold a missing-value text become NULL.
+    Only the lines up to the header are looked at on the driver. The first line of every file is skipped by its
+    place; a header further down, and title lines between, are known by their cells. Rows that do not fit the header
+    keep their text in ``bad_row``. Cells that hold a missing-value text become NULL. With ``multi_line`` each file is
+    read by one task.
     """
     preamble = [next(csv.reader([r.value]), []) for r in spark.read.text(path).head(header_row + 1)]
     if len(preamble) <= header_row:
@@ -35,11 +37,13 @@ def read_sheet(spark: SparkSession, path: str, header_row: int = 1, multi_line:
         spark.read.schema(schema)
         .option("columnNameOfCorruptRecord", BAD_ROW)
         .option("quote", '"').option("escape", '"')
+        .option("header", True).option("enforceSchema", True)
+        .option("columnPruning", False)  # a row is judged by all its cells, whichever are asked for
         .option("multiLine", multi_line)
         .csv(path)
     )
     # Each file of an exported sheet repeats the title lines and the header.
-    for cells in preamble:
+    for cells in preamble[1:]:
         padded = [*cells, *[""] * len(names)]
         same = [F.col(f"`{n}`").eqNullSafe(F.lit(cell or None)) for n, cell in zip(names, padded)]
         rows = rows.filter(~reduce(and_, same))
@@ -66,19 +70,39 @@ def valid_rows(rows: DataFrame) -> DataFrame:
     return rows if "Raw" in rows.columns else rows.withColumn("Raw", F.col("Kanji"))
 
 
-def load_levels(spark: SparkSession, paths: dict[str, str], header_row: int = 1, multi_line: bool = False) -> DataFrame:
-    """The valid rows of several levels' sheets, tagged with ``level``. A missing file is skipped with a warning."""
-    out = None
+def _found_sheets(
+    spark: SparkSession, paths: dict[str, str], header_row: int, multi_line: bool
+) -> dict[str, DataFrame]:
+    found = {}
     for level, path in paths.items():
         try:
-            sheet = read_sheet(spark, path, header_row, multi_line)
+            found[level] = read_sheet(spark, path, header_row, multi_line)
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             log.warning("no sheet for %s at %s", level, path)
-            continue
-        tagged = valid_rows(conform_schema(sheet)).withColumn("level", F.lit(level))
-        out = tagged if out is None else out.unionByName(tagged)
-    if out is None:
+    if not found:
         raise ValueError("no sheet found")
-    return out
+    return found
+
+
+def load_levels(spark: SparkSession, paths: dict[str, str], header_row: int = 1, multi_line: bool = False) -> DataFrame:
+    """The valid rows of several levels' sheets, tagged with ``level``. A missing file is skipped with a warning.
+
+    Rows that do not fit their header are left to ``load_rejects``.
+    """
+    fitting = {
+        level: sheet.filter(F.col(BAD_ROW).isNull())
+        for level, sheet in _found_sheets(spark, paths, header_row, multi_line).items()
+    }
+    return reduce(DataFrame.unionByName, [
+        valid_rows(conform_schema(sheet)).withColumn("level", F.lit(level)) for level, sheet in fitting.items()
+    ])
+
+
+def load_rejects(spark: SparkSession, paths: dict[str, str], header_row: int = 1, multi_line: bool = False) -> DataFrame:
+    """(level, bad_row): the text of every row that does not fit its sheet's header."""
+    return reduce(DataFrame.unionByName, [
+        sheet.filter(F.col(BAD_ROW).isNotNull()).select(F.lit(level).alias("level"), BAD_ROW)
+        for level, sheet in _found_sheets(spark, paths, header_row, multi_line).items()
+    ])

@@ -45,6 +45,11 @@ MARKS = ["", "＊", "＊＊", "**", "+", "（な）", "(な)"]
 AS_OF_MARKINGS = "1998-07-01 00:00:00"
 AS_OF_REVIEWS = "2024-01-28 12:00:00"
 USER = "u1"
+TITLE = "Vocabulary"  # a sheet's title line; one data row has the same cells
+WIDE_SOURCE = "src17"  # its rows get a cell too many where rejects are tested
+# Above every part and supplier key of the given tables.
+PART_KEYS = 2_000_003
+SUPPLIER_KEYS = 10_007
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,9 +89,13 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def marking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as marking changes: the supplier is the learner, the part the word."""
+    """Order lines as marking changes: the supplier is the learner, the part the word.
+
+    Only order, line, part and supplier together name a line of the given tables; the id holds all four.
+    """
+    line = F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        ((line * PART_KEYS + F.col("l_partkey")) * SUPPLIER_KEYS + F.col("l_suppkey")).alias("id"),
         F.concat(F.lit("u"), F.col("l_suppkey").cast("string")).alias("user_id"),
         F.col("l_partkey").alias("word_id"),
         (F.col("l_quantity").cast("int") % 6).alias("marking"),

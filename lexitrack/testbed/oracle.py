@@ -48,8 +48,8 @@ WORDS = """words AS (
     CASE WHEN p_size <= 30 THEN 1 WHEN p_size <= 42 THEN 2 ELSE 3 END AS difficulty_level
   FROM part)"""
 
-LOG = """log AS (
-  SELECT l_orderkey * 8 + l_linenumber AS id, concat('u', l_suppkey) AS user_id, l_partkey AS word_id,
+LOG = f"""log AS (
+  SELECT ((CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * {b.PART_KEYS} + l_partkey) * {b.SUPPLIER_KEYS} + l_suppkey AS id, concat('u', l_suppkey) AS user_id, l_partkey AS word_id,
          CAST(l_quantity AS INT) % 6 AS marking, l_shipdate AS updated_at FROM lineitem)"""
 
 MARKINGS = LOG + """,
@@ -228,7 +228,9 @@ def oracle_sql() -> dict[str, str]:
     due = f"updated_at < TIMESTAMP '{b.AS_OF_MARKINGS}' - INTERVAL 3 DAY"
     own = f"(SELECT * FROM markings WHERE user_id = '{U}')"
     return {
-        "read_sheet": _with(SHEET) + f"SELECT {_COLUMNS} FROM sheet".replace("sentence", "CASE WHEN sentence <> '' THEN sentence END AS sentence"),
+        "read_sheet": _with(SHEET) + f"SELECT {_COLUMNS} FROM sheet".replace("sentence", "CASE WHEN sentence <> '' THEN sentence END AS sentence")
+        + f" UNION ALL SELECT '{b.TITLE}'" + ", NULL" * 10,
+        "load_rejects": _with(SHEET) + f"SELECT level, sr_no FROM sheet WHERE supporting_1 = 'before {b.WIDE_SOURCE}'",
         "load_levels": _with(VALID) + f"SELECT {_COLUMNS}, level FROM valid",
         "valid_rows": _with(VALID) + f"SELECT {_COLUMNS} FROM valid",
         "conform_schema": _with(SHEET) + """SELECT sr_no, raw AS kanji, '' AS hiragana, meaning, '' AS hint, sentence,
@@ -239,9 +241,10 @@ FROM sheet WHERE sr_no IS NOT NULL""",
             f"named AS (SELECT {_LECTURE.format(1)} AS week, {_LECTURE.format(2)} AS day FROM sheet)",
         ) + """SELECT d.id, d.week, d.day, concat(d.week, '週', d.day, '日') AS week_day_label, count(n.week) AS sheet_rows
 FROM days d LEFT JOIN named n ON d.week = n.week AND d.day = n.day GROUP BY d.id, d.week, d.day""",
-        "vocab_sink": _with(_enriched(), SCHEDULE) + """SELECT CASE e.level WHEN 'N1' THEN 1 WHEN 'N2' THEN 2 ELSE 3 END * 4294967296 + ref_no AS id,
+        "distinct_ids": _with(VALID) + "SELECT 2 * count(*) AS words, 2 * count(*) AS ids FROM valid",
+        "vocab_sink": _with(_enriched(), SCHEDULE) + f"""SELECT CASE e.level WHEN 'N1' THEN 1 WHEN 'N2' THEN 2 ELSE 3 END * 4294967296 + ref_no AS id,
   e.level, ref_no, kanji, hiragana, meaning_en, example_before, example_after, hint, full_sentence, page_no, s.id AS schedule_id,
-  word_type, difficulty_level FROM enriched e LEFT JOIN schedule s ON e.week = s.week AND e.day = s.day""",
+  word_type, difficulty_level, TIMESTAMP '{b.AS_OF_REVIEWS}' AS created_at FROM enriched e LEFT JOIN schedule s ON e.week = s.week AND e.day = s.day""",
         "insert_script_export": _with(_enriched()) + f"SELECT level, ref_no, {_TUPLE} AS tuple FROM enriched",
         "insert_script_import": _with(_enriched()) + f"SELECT level, {_SCRIPT}",
         "insert_script_import_first": _with(_enriched(FIRST)) + f"SELECT {_SCRIPT}",
@@ -374,7 +377,14 @@ FROM words WHERE example_before IS NOT NULL AND level = 'N1' {_PICK} 10""",
   (SELECT id FROM schedule s WHERE s.week = e.week AND s.day = e.day) AS schedule_id FROM enriched e""",
         "lemma_forms": _with(SHEET, TOKENS) + "SELECT word, string_agg(form, '|' ORDER BY form) AS forms FROM tokens GROUP BY word",
         "split_with_forms": _with(_enriched(CURRENT, forms=True)) + "SELECT sr_no, matched, example_before, example_after FROM enriched",
-        "upsert_markings": _with(MARKINGS) + "SELECT * FROM markings",
+        "upsert_markings": _with(LOG) + f"""SELECT coalesce(s.id, i.first) AS id, coalesce(i.user_id, s.user_id) AS user_id,
+  coalesce(i.word_id, s.word_id) AS word_id, coalesce(i.marking, s.marking) AS marking, coalesce(i.updated_at, s.updated_at) AS updated_at
+FROM (SELECT user_id, word_id, min(id) AS id, arg_max(marking, (updated_at, id)) AS marking, max(updated_at) AS updated_at
+      FROM log WHERE updated_at >= TIMESTAMP '{b.AS_OF_MARKINGS}' GROUP BY ALL) s
+FULL JOIN (SELECT user_id, word_id, min(id) AS first, arg_max(marking, (updated_at, id)) AS marking, max(updated_at) AS updated_at
+      FROM log WHERE updated_at < TIMESTAMP '{b.AS_OF_MARKINGS}' GROUP BY ALL) i
+  ON s.user_id = i.user_id AND s.word_id = i.word_id""",
+        "latest_markings": _with(MARKINGS) + "SELECT * FROM markings",
         "upsert_into_table": _with(MARKINGS) + f"""SELECT coalesce(o.id, m.id) AS id, m.user_id, m.word_id, m.marking, m.updated_at
 FROM markings m LEFT JOIN (SELECT user_id, word_id, min(id) AS id FROM log WHERE updated_at < TIMESTAMP '{b.AS_OF_MARKINGS}' GROUP BY ALL) o
   ON m.user_id = o.user_id AND m.word_id = o.word_id""",
@@ -390,7 +400,7 @@ UNION ALL SELECT coalesce(m.id, {_new_id(f"'{U}'", "w.id")}), '{U}', w.id, 1, TI
   FROM progress p JOIN words v ON v.id = p.vocabulary_id) c ON s.kanji = c.kanji AND c.rn = 1""",
         "record_review": _with(STUDY) + "SELECT id, times_reviewed, last_reviewed FROM study",
         "append_progress": _with(PROGRESS, MARKINGS) + f"""SELECT id, vocabulary_id, review_date, result, notes, created_at FROM progress
-UNION ALL SELECT {_new_id("word_id", "day", "result", "row_number() OVER (PARTITION BY word_id, day, result)")}, word_id, day, result, NULL,
+UNION ALL SELECT {_new_id("word_id", "day", "result", "''", f"'{b.AS_OF_REVIEWS}'", "row_number() OVER (PARTITION BY word_id, day, result)")}, word_id, day, result, NULL,
   TIMESTAMP '{b.AS_OF_REVIEWS}' FROM (
     SELECT word_id, CAST(updated_at AS DATE) AS day, CASE WHEN marking = 5 THEN 'incorrect' ELSE 'correct' END AS result FROM markings)""",
         "bulk_mark_progress": _with(WORDS, SCHEDULE, MARKINGS) + f"""SELECT v.level, count(DISTINCT v.id) AS total_words,
@@ -408,6 +418,15 @@ UNION ALL SELECT 'unique', 'user_id, word_id', count(*) FROM (SELECT user_id, wo
             + [f"SELECT 'length', '{c}', count(*) FILTER (length({c}) > {n}) FROM words" for c, n in MAX_LENGTHS["vocabulary"].items()]
             + ["SELECT 'unique', 'id', count(*) FROM (SELECT id FROM words GROUP BY id HAVING count(*) > 1)"]),
         "check_foreign_key": _with(LOG) + "SELECT 'word_id' AS \"column\", count(*) AS violations FROM log WHERE word_id NOT IN (SELECT c_custkey FROM customer)",
+        "check_table_schedule": _with(SCHEDULE) + """SELECT 'not null' AS "check", 'week' AS "column", count(*) FILTER (week IS NULL) AS violations FROM schedule
+UNION ALL SELECT 'not null', 'day', count(*) FILTER (day IS NULL) FROM schedule
+UNION ALL SELECT 'length', 'week_day_label', count(*) FILTER (length(week_day_label) > 20) FROM schedule
+UNION ALL SELECT 'unique', 'id', count(*) - count(DISTINCT id) FROM schedule
+UNION ALL SELECT 'unique', 'week, day', count(*) - count(DISTINCT (week, day)) FROM schedule""",
+        "check_foreign_key_schedule": _with(WORDS, SCHEDULE) + """SELECT 'schedule_id' AS "column", count(*) AS violations
+FROM words WHERE schedule_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM schedule s WHERE s.id = words.schedule_id)""",
+        "check_foreign_key_progress": _with(WORDS, PROGRESS) + """SELECT 'vocabulary_id' AS "column", count(*) AS violations
+FROM progress p WHERE vocabulary_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM words w WHERE w.id = p.vocabulary_id)""",
         "check_length": _with(WORDS) + " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", count(*) FILTER (length({c}) > {n}) AS violations FROM words"
             for c, n in {"level": 5, "kanji": 100, "hiragana": 100, "word_type": 20, "meaning_en": 15}.items()),

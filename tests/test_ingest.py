@@ -271,3 +271,41 @@ def test_created_at_has_no_zone(spark, sheet_path):
     words = ingest.ingest(sheets.load_levels(spark, {"N1": sheet_path}), schedule_dim(spark))
     assert dict(words.dtypes)["created_at"] == "timestamp_ntz"
     assert isinstance(words.first()["created_at"], dt.datetime)
+
+
+def test_title_is_skipped_by_its_place(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("Title,,\nSr no,Kanji,Raw\nTitle,,\n1,語,語\n", encoding="utf-8")
+    got = [tuple(r)[:2] for r in sheets.read_sheet(spark, str(tmp_path)).collect()]
+    assert got == [("Title", None), ("1", "語")]
+
+
+def test_rows_that_do_not_fit_are_reported_not_loaded(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("Title\nSr no,Kanji,Raw\n1,語,語\n2,語\n3,語,語,x\n", encoding="utf-8")
+    paths = {"N1": str(path), "N2": "/nonexistent/n2.csv"}
+    assert [r["Sr no"] for r in sheets.load_levels(spark, paths).select("Sr no").collect()] == ["1"]
+    got = [tuple(r) for r in sheets.load_rejects(spark, paths).collect()]
+    assert sorted(got) == [("N1", "2,語"), ("N1", "3,語,語,x")]
+
+
+def test_every_word_has_an_id_of_its_own(spark, frame):
+    cells = [("N1", "5", "語"), ("N1", "5", "話"), ("N1", "5", "話"), ("N1", "0", "字"), ("N1", "7a", "辞"), ("N4", "1", "文"),
+             ("N1", "3000000000", "山"), ("N2", "1", "川")]
+    sheet = sheets.valid_rows(sheets.conform_schema(frame("level string, `Sr no` string, Kanji string", cells)))
+    words = ingest.distinct_ids(ingest.ingest(sheet, schedule_dim(spark), as_of="2024-01-01 00:00:00"))
+    ids = [(r["kanji"], r["id"]) for r in words.collect()]
+    assert len(ids) == 8 and len({i for _, i in ids}) == 8 and all(i is not None for _, i in ids)
+    assert ("川", (2 << 32) + 1) in ids
+    again = ingest.distinct_ids(ingest.ingest(sheet.repartition(5), schedule_dim(spark), as_of="2024-01-01 00:00:00"))
+    assert sorted((r["kanji"], r["id"]) for r in again.collect()) == sorted(ids)
+
+
+def test_script_of_several_statements(spark, frame, tmp_path):
+    whole = ""
+    for i in range(3):
+        scripts.write_script(frame(SCRIPT_SCHEMA, SCRIPT_ROWS[i:i + 2], 1), str(tmp_path / f"part{i}"))
+        whole += "".join(f.read_text(encoding="utf-8") for f in sorted((tmp_path / f"part{i}").glob("part-*")))
+    (tmp_path / "all.sql").write_text(whole, encoding="utf-8")
+    got = [tuple(r) for r in scripts.read_script(spark, str(tmp_path / "all.sql")).collect()]
+    want = [r for i in range(3) for r in SCRIPT_ROWS[i:i + 2]]
+    assert sorted(map(str, got)) == sorted(map(str, want))

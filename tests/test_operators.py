@@ -283,19 +283,43 @@ def test_upsert_rewrites_only_the_buckets_it_touches(spark, frame, markings, tmp
     path = tmp_path / "markings"
     many = frame(MARKINGS, [(i, f"u{i}", 1, 1, T0) for i in range(40)])
     tables.write_markings(many, str(path), buckets=4)
-    before = {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in path.glob("bucket=*")}
-    tables.upsert_into(spark, str(path), frame(MARKINGS, [(None, "u7", 1, 5, T0), (None, "u7", 2, 3, T0)]), buckets=4)
-    after = {d.name: sorted(f.name for f in d.glob("*.parquet")) for d in path.glob("bucket=*")}
-    assert sum(before[k] != after[k] for k in before) == 1
+    before = tables.table_layout(spark, str(path))
+    tables.upsert_into(spark, str(path), frame(MARKINGS, [(None, "u7", 1, 5, T0), (None, "u7", 2, 3, T0)]))
+    after = tables.table_layout(spark, str(path))
+    assert before.buckets == after.buckets == 4
+    assert sum(before.folders[k] != after.folders[k] for k in before.folders) == 1
     stored = tables.read_markings(spark, str(path))
     assert stored.count() == 41
-    assert {(r["word_id"], r["marking"], r["id"]) for r in tables.read_markings(spark, str(path), "u7", 4).collect()} == {(1, 5, 7), (2, 3, None)}
+    got = {r["word_id"]: (r["marking"], r["id"]) for r in tables.read_markings(spark, str(path), "u7").collect()}
+    assert got[1] == (5, 7) and got[2][0] == 3 and got[2][1] > 1 << 59
+    tables.write_markings(many, str(path), buckets=2)
+    assert tables.table_layout(spark, str(path)).buckets == 2 and tables.read_markings(spark, str(path)).count() == 40
+
+
+def test_a_rewrite_that_fails_leaves_the_table(spark, frame, tmp_path):
+    path = str(tmp_path / "markings")
+    tables.write_markings(frame(MARKINGS, [(1, "a", 1, 1, T0), (2, "b", 2, 1, T0)]), path, buckets=2)
+    old = rows(tables.read_markings(spark, path))
+    broken = F.when(F.col("user_id") == "a", F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("marking"))
+    with pytest.raises(Exception, match="lost"):
+        tables.rewrite_user(spark, path, "a", lambda r: r.withColumn("marking", broken))
+    assert rows(tables.read_markings(spark, path)) == old
+    tables.upsert_into(spark, path, frame(MARKINGS, []))
+    assert rows(tables.read_markings(spark, path)) == old
+
+
+def test_empty_markings_can_be_stored(spark, frame, tmp_path):
+    path = str(tmp_path / "markings")
+    tables.write_markings(frame(MARKINGS, []), path, buckets=3)
+    assert tables.read_markings(spark, path).count() == 0
+    tables.upsert_into(spark, path, frame(MARKINGS, [(9, "a", 1, 1, T0)]))
+    assert [r["id"] for r in tables.read_markings(spark, path, "a").collect()] == [9]
 
 
 def test_rewrite_may_empty_a_bucket(spark, frame, words, tmp_path):
     path = str(tmp_path / "markings")
     tables.write_markings(frame(MARKINGS, [(1, "a", 1, 1, T0), (2, "a", 2, 1, T0)]), path, buckets=2)
-    tables.rewrite_user(spark, path, "a", lambda r: maintain.reset_level(r, words, "a", "N1"), buckets=2)
+    tables.rewrite_user(spark, path, "a", lambda r: maintain.reset_level(r, words, "a", "N1"))
     assert tables.read_markings(spark, path).count() == 0
 
 
