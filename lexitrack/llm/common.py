@@ -90,7 +90,7 @@ class SliceCache:
     It is emptied when it holds ``limit`` strings, so a worker's memory stays bounded.
     """
 
-    def __init__(self, encode, limit: int = 1_000_000):
+    def __init__(self, encode, limit: int = 250_000):
         self.encode, self.limit = encode, limit
         self._clear()
 
@@ -146,13 +146,19 @@ def _byte_codes() -> np.ndarray:
     return codes
 
 
-@cache
+_known_powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n + 1 powers of the base and of its inverse; a worker keeps the longest table only."""
+    if _known_powers and len(_known_powers[0][0]) > n:
+        return _known_powers[0]
     base = 0x9E3779B97F4A7C15
     up, down = np.full(n + 1, base, np.uint64), np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
     np.cumprod(up, out=up)
     np.cumprod(down, out=down)
+    _known_powers[:] = [(up, down)]
     return up, down
 
 
