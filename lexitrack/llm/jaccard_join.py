@@ -47,7 +47,7 @@ STAR = 64
 BUCKET_KEYS = 250_000
 #: Up to so many ids are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-_BLOCK = 16 << 20
+_BLOCK = 8 << 20
 _TEXT_BYTES = 1 << 20
 _U = np.uint64
 
