@@ -1,11 +1,17 @@
 """Personal data: pattern spans, and terms that disclose them, in DataFrame functions only.
 
 Base spans come from patterns for e-mail, IP, card and phone numbers. Information-theoretic sanitisation adds terms:
-the corpus shows, for every protected entity (a value found by a pattern) and every word near it, in how many texts
-both and in how many the word alone occurs. A word whose presence makes the entity at least ``DISCLOSURE`` likely,
-tells at least ``MIN_BITS`` about it (pointwise: log2 P(entity | word) / P(entity)) and stands beside it in at least
-``MIN_CONTEXTS`` different lines discloses the entity; all its occurrences become spans of kind ``term``. ``mask``
-generalises spans to their kind. Copies of a text, and of a line, count once.
+the corpus shows, for every protected entity (a value found by a pattern) and every word near it (``WINDOW`` characters
+to either side, over line ends), in how many texts both and in how many the word alone occurs. A word whose presence
+makes the entity at least ``DISCLOSURE`` likely and tells at least ``MIN_BITS`` about it (pointwise: log2 P(entity |
+word) / P(entity)) discloses the entity; all its occurrences become spans of kind ``term``. An entity so frequent that
+there is little more than ``MIN_BITS`` to tell is disclosed by a word that tells ``MOST`` of it, which is a test of
+P(entity | word) alone. ``masked`` generalises spans to their kind. Copies of a text count once.
+
+No entity is left out for being rare: P(entity | word) is smoothed instead. That the two met by chance is weighed
+against that they belong together, which counts beforehand for ``TOGETHER``; so one text tells little in a small corpus
+and more in a large one, where meeting by chance is less likely. Words have three letters at least, or begin with a
+capital or a letter of a script without capitals, as short names do.
 
 Positions are code points, the end exclusive. Spans are ordered by start, then by the order of ``KINDS``, then end.
 Nulls count as empty texts, without spans; masking leaves a null. No pattern matches across a line end.
@@ -29,7 +35,12 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "term")
 DISCLOSURE = 0.5
 MIN_BITS = 6.0
-MIN_CONTEXTS = 3
+#: The share of what there is to tell about an entity that is enough if it is less than ``MIN_BITS``.
+MOST = 0.9
+#: The characters to either side of an entity whose words are near it.
+WINDOW = 400
+#: How likely a word and an entity near it belong together before texts are counted, and how likely the word then means the entity.
+TOGETHER, _MEANT = 1 / 64, 0.75
 #: A term's texts are counted in one of so many slices before all of them.
 SLICES = 16
 #: Terms of up to so many bytes are broadcast.
@@ -45,7 +56,7 @@ _PATTERNS = {
 }
 #: What a text must hold for a find that counts.
 _GATES = {"email": "@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){12}", "phone": r"\+[0-9]"}
-_TERM = r"[\p{L}][\p{L}\p{N}]{2,}+"
+_TERM = r"[\p{L}][\p{L}\p{N}]{2,}+|(?<![\p{L}\p{N}])[\p{Lu}\p{Lt}\p{Lo}][\p{L}\p{N}]?+"
 _CHUNK = 256
 _SPAN = "array<struct<start: int, kind_no: int, end: int, kind: string, value: string>>"
 
@@ -162,52 +173,75 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), lambda t: F.lower(t)))
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks for its spans; positions stay."""
+    def cut(done: Column, s: Column) -> Column:
+        between = F.substr(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
+        blanks = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], done["at"]))
+        longer = F.struct(s["end"].alias("at"), F.concat(done["out"], between, blanks).alias("out"))
+        return F.when(s["end"] > done["at"], longer).otherwise(done)
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    return F.aggregate(spans, start, cut, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1, F.length(text))))
+
+
 def _entities(texts: DataFrame) -> DataFrame:
-    """Text key, entity, line and terms of the line, for each line with an entity."""
+    """Text key, entity and the terms near it, for each occurrence of an entity."""
     gate = reduce(lambda a, b: a + "|" + b, _GATES.values())
-    lines = texts.filter(F.col("text").rlike(gate)).select(*_KEY, F.explode_outer(F.split("text", "\n", -1)).alias("line"))
-    lines = base_spans(lines.filter(F.col("line").rlike(gate)), "line")
-    rest = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("").alias("kind")))
-    lines = lines.withColumn("rest", masked(F.col("line"), rest))
-    entities = F.array_distinct(F.transform("spans", lambda s: F.xxhash64(s["kind"], F.lower(s["value"]))))
-    return lines.select(
-        *_KEY, F.xxhash64("line").alias("line"), F.explode_outer(entities).alias("entity"), _terms(F.col("rest")).alias("terms")
+    found = base_spans(texts.filter(F.col("text").rlike(gate)), "text")
+    found = found.withColumn("rest", _blanked(F.col("text"), F.col("spans")))
+
+    def near(s: Column) -> Column:
+        first = F.greatest(s["start"] - WINDOW, F.lit(0))
+        before = F.substr("rest", first + 1, s["start"] - first)
+        before = F.when(first > 0, F.regexp_replace(before, r"^[\p{L}\p{N}]++", "")).otherwise(before)
+        after = F.substr("rest", s["end"] + 1, F.lit(WINDOW))
+        more = F.length("rest") > s["end"] + WINDOW
+        after = F.when(more, F.regexp_replace(after, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$", "")).otherwise(after)
+        entity = F.xxhash64(s["kind"], F.lower(s["value"]))
+        return F.struct(entity.alias("entity"), _terms(F.concat(before, F.lit(" "), after)).alias("terms"))
+
+    return found.select(*_KEY, F.explode_outer(F.transform("spans", near)).alias("near")).select(
+        *_KEY, "near.entity", "near.terms"
     ).filter(F.col("entity").isNotNull())
 
 
-def disclosing_terms(
-    texts: DataFrame, disclosure: float = DISCLOSURE, min_bits: float = MIN_BITS, min_contexts: int = MIN_CONTEXTS,
-) -> DataFrame:
+def _likely(share: Column, n_both: Column, n_term: Column) -> Column:
+    """P(entity | word), smoothed: by the counts if they belong together, else the entity's share of all texts."""
+    meant = F.greatest(F.lit(_MEANT), (1 + share) / 2)
+    chance = F.greatest(1 - share, F.lit(_ROUNDING))
+    odds = n_both * F.log(meant / share) + (n_term - n_both) * F.log((1 - meant) / chance) + F.log(F.lit(TOGETHER / (1 - TOGETHER)))
+    together = 1 / (1 + F.exp(-odds))
+    return together * (n_both + 1) / (n_term + 2) + (1 - together) * share
+
+
+def disclosing_terms(texts: DataFrame, disclosure: float = DISCLOSURE, min_bits: float = MIN_BITS) -> DataFrame:
     """Terms that disclose an entity, from rows with a key of the text, and the text: the term alone.
 
     Counts are aggregates, so a frequent entity or term reaches a reducer as one row for each task and text. A term
-    is counted in all texts only if it can still disclose: an entity must be rare enough to tell ``min_bits`` of it, and
-    where the term occurs in more texts of one slice of the keys than it may in all, it discloses nothing.
+    is counted in all texts only if it can still disclose: where it occurs in more texts of one slice of the keys than
+    it may in all, it discloses nothing.
     """
     spark, folder = texts.sparkSession, shared_dir(texts.sparkSession, "disclosing")
-    entities = _entities(texts)
-    often = entities.groupBy("entity").agg(
-        F.count_distinct("line").alias("lines"), F.count_distinct(*_KEY).alias("n_entity")
-    ).filter(F.col("lines") >= min_contexts).select("entity", "n_entity")
-    pairs = entities.join(often.select("entity"), "entity", "left_semi").select(
-        "entity", "line", *_KEY, F.explode_outer("terms").alias("term")
-    )
-    together = pairs.groupBy("entity", "term").agg(
-        F.count_distinct("line").alias("contexts"), F.count_distinct(*_KEY).alias("n_both")
-    ).filter((F.col("contexts") >= min_contexts) & F.col("term").isNotNull()).join(often, "entity")
+    entities = _written(_entities(texts), f"{folder}/entities")
+    often = entities.groupBy("entity").agg(F.count_distinct(*_KEY).alias("n_entity"))
+    pairs = entities.select("entity", *_KEY, F.explode_outer("terms").alias("term")).filter(F.col("term").isNotNull())
+    together = pairs.groupBy("entity", "term").agg(F.count_distinct(*_KEY).alias("n_both")).join(often, "entity")
+    together = _written(together, f"{folder}/together")
     all_texts = max(1, texts.select(*_KEY).distinct().count())
-    share = F.col("n_entity") / all_texts
-    together = _written(together.filter(F.log2(1 / share) >= min_bits - _ROUNDING), f"{folder}/together")
     most = _written(together.groupBy("term").agg(F.max("n_both").alias("most")), f"{folder}/most")
     in_slice = occurrences(texts.filter(F.col(_KEY[1]) % SLICES == 0), most.select("term")).groupBy("term").agg(
         F.count_distinct(*_KEY).alias("n_slice")
     )
-    too_many = F.coalesce("n_slice", F.lit(0)) * disclosure > F.col("most") + _ROUNDING
+    # The smoothed P is between the share, which is never enough, and this quotient.
+    too_many = (F.coalesce("n_slice", F.lit(0)) + 2) * disclosure > F.col("most") + 1 + _ROUNDING
     candidates = _written(most.join(in_slice, "term", "left").filter(~too_many).select("term"), f"{folder}/candidates")
     alone = occurrences(texts, candidates).groupBy("term").agg(F.count_distinct(*_KEY).alias("n_term"))
-    likely = F.col("n_both") / F.col("n_term")
-    judged = together.join(alone, "term")
-    return judged.filter((likely >= disclosure) & (F.log2(likely / share) >= min_bits)).select("term").distinct()
+    share = F.col("n_entity") / all_texts
+    likely = _likely(share, F.col("n_both"), F.col("n_term"))
+    bits = F.least(F.lit(min_bits), F.log2(1 / share) * MOST)
+    judged = together.join(alone, "term").filter(F.col("n_entity") < all_texts)
+    return judged.filter((likely >= disclosure) & (F.log2(likely / share) >= bits)).select("term").distinct()
 
 
 def _written(rows: DataFrame, path: str) -> DataFrame:

@@ -372,3 +372,17 @@ def test_pipeline(spark, docs, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in out.collect()) == sorted(
         (r["doc_id"] or 0, r["n"]) for r in byte_bpe.encode(kept, out="i").select("doc_id", F.size("i").alias("n")).collect())
+
+
+def test_rare_entities_short_names_and_other_lines(spark):
+    texts = [f"text {i} says nothing of anybody" for i in range(1500)] + [
+        "Quillon\nwrites from q.v@x.com again", "of Li:\n\nli@y.com or so", "王芳\n+1 (234) 555-1234 says", "Quillonia left, li too"]
+    texts += [f"{'Orsolya' if i < 700 else 'anybody'} says desk@z.com {i}" for i in range(800)]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = pii.find(rows).select("text", pii.masked(F.col("text"), F.col("spans")).alias("clean")).collect()
+    clean = {r["text"]: r["clean"] for r in found}
+    assert clean[texts[1500]].startswith("<TERM>\n") and "<EMAIL>" in clean[texts[1500]]
+    assert clean[texts[1501]] == "of <TERM>:\n\n<EMAIL> or so" and clean[texts[1502]].startswith("<TERM>\n<PHONE> says")
+    assert clean[texts[1503]] == texts[1503] and clean[texts[0]] == texts[0]
+    assert clean["Orsolya says desk@z.com 5"] == "<TERM> says <EMAIL> 5"  # frequent: less than MIN_BITS to tell
+    assert clean["anybody says desk@z.com 750"] == "anybody says <EMAIL> 750"
