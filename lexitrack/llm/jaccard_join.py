@@ -18,7 +18,8 @@ share too. Nothing is capped. Equal sets are one set from the start.
 Words stand between ASCII white space, A-Z made small. A set has the distinct shingles of five words, or the whole
 sequence as one where there are fewer; a null text, or one without words, has none and links with nothing. Sets are
 compared as sets of 64-bit hashes and named by a 64-bit hash of all of them. Rows that repeat a doc_id are in one
-component each by their text. A null doc_id is the smallest only if there is no other.
+component each by their text: a set's text is found by the id and two hashes of the text of one row that has it, an id of
+null as any other. A null doc_id is the smallest only if there is no other.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexitrack.llm.common import blocks, mix as _mix, word_hashes
@@ -47,6 +48,8 @@ STAR = 64
 BUCKET_KEYS = 250_000
 #: Up to so many ids are broadcast to pick texts; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
+#: What names a row: its id, which may be null or repeated, and two hashes of its text.
+ROW = ["doc_id", "text_hash", "text_crc"]
 _BLOCK = 8 << 20
 _TEXT_BYTES = 1 << 20
 _U = np.uint64
@@ -184,15 +187,15 @@ def keys(elements: np.ndarray, salt: int = 0, level: int = 0) -> np.ndarray:
 # Spark jobs
 
 def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (doc_id, text): doc_id, and size, name and sketch of the set."""
+    """Of rows (text, *ROW): the name of the row, and size, name and sketch of the set."""
     for batch in batches:
         rows = [
-            (len(s), name(s), sketch(s)) for block in blocks(batch.column(1), _TEXT_BYTES) for s in sets(block)
+            (len(s), name(s), sketch(s)) for block in blocks(batch.column(0), _TEXT_BYTES) for s in sets(block)
         ]
         size, node, bits = zip(*rows, strict=True) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary())],
-            names=["doc_id", "n_shingles", "node", "bits"],
+            [*batch.columns[1:], pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary())],
+            names=[*ROW, "n_shingles", "node", "bits"],
         )
 
 
@@ -295,12 +298,20 @@ def likely(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return pairs.filter(sizes).filter(near).select("a", "b")
 
 
-def _texts(pairs: DataFrame, owners: DataFrame, docs: DataFrame) -> DataFrame:
+def _of_rows(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Columns of nodes, and the text of the row that each names, as often as the row is there."""
+    named = nodes.select(*nodes.columns, *[F.col(c).alias(f"own_{c}") for c in ROW]).drop(*ROW)
+    same = [F.col(ROW[0]).eqNullSafe(F.col(f"own_{ROW[0]}")), *(F.col(c) == F.col(f"own_{c}") for c in ROW[1:])]
+    return docs.join(named, same).drop(*ROW, *(f"own_{c}" for c in ROW))
+
+
+def _texts(pairs: DataFrame, owners: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
     """(node, text) of the sets in pairs, from one document of each."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(owners, "node")
     if nodes.count() <= BROADCAST_ROWS:
         nodes = F.broadcast(nodes)
-    return docs.join(nodes, "doc_id").select("node", "text")
+    texts = _of_rows(nodes, docs).select("node", "text")
+    return texts.dropDuplicates(["node"]) if repeated else texts
 
 
 def compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -412,18 +423,34 @@ def _mixed(found: DataFrame, labels: DataFrame) -> DataFrame:
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row; the component is named by its smallest doc_id."""
+    return components_of(docs, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
+def row_key(doc_id: Column, text: Column) -> list[Column]:
+    """The columns ``ROW`` of a row."""
+    value = F.coalesce(text, F.lit(""))
+    return [doc_id.cast("long").alias(ROW[0]), F.xxhash64(value).alias(ROW[1]), F.crc32(value).alias(ROW[2])]
+
+
+def components_of(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """What ``join`` gives, with the columns ``ROW``, and ``first``: whether a row, or its like, is the first of its
+    component, by ids, then texts. Rows without a set are first."""
     spark, folder = docs.sparkSession, shared_dir(docs.sparkSession, "jaccard")
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    named = _written(docs.mapInArrow(_names, "doc_id long, n_shingles long, node long, bits binary"), f"{folder}/names")
+    docs = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"), *row_key(F.col(doc_id), F.col(text)))
+    schema = "doc_id long, text_hash long, text_crc long, n_shingles long, node long, bits binary"
+    named = _written(docs.mapInArrow(_names, schema), f"{folder}/names")
     full = named.filter(F.col("n_shingles") > 0)
-    owners = full.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    # Of the rows of a set the one of the smallest id; nulls come last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), *ROW))
+    owners = full.groupBy("node").agg(first.alias("own")).select("node", *[f"own.{c}" for c in ROW])
+    repeated = not full.groupBy(*ROW).count().filter(F.col("count") > 1).isEmpty()
     sketches = full.select("node", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["node"])
     total = named.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0] // 2
     rows, links, level = docs.withColumn("salt", F.lit(0).cast("long")), None, 0
     while True:
         found = _written(groups(rows, level, total), f"{folder}/groups-{level}")
         stars = found.select(F.col("members")[0].alias("a"), F.explode(F.slice("members", 2, F.size("members"))).alias("b"))
-        links = _more(links, _links(likely(stars.distinct(), sketches), owners, docs, f"{folder}/stars-{level}"))
+        links = _more(links, _links(likely(stars.distinct(), sketches), owners, docs, repeated, f"{folder}/stars-{level}"))
         limit, more = ROUND_PAIRS, True
         while more:
             turn = f"{level}-{limit}"
@@ -433,28 +460,30 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             pairs = of_sets.join(sketches, "node").groupBy("hub").applyInArrow(_between(limit), "a long, b long, more boolean")
             pairs = _written(pairs.groupBy("a", "b").agg(F.max("more").alias("more")), f"{folder}/pairs-{turn}")
             more = not pairs.filter("more").isEmpty()
-            links = _more(links, _links(pairs.select("a", "b"), owners, docs, f"{folder}/others-{turn}"))
+            links = _more(links, _links(pairs.select("a", "b"), owners, docs, repeated, f"{folder}/others-{turn}"))
             limit *= ROUND_GROWTH
         large = mixed.filter(F.col("size") > GROUP_SETS)
         if large.isEmpty():
             break
         level += 1
         again = large.select(F.col("group").alias("salt"), F.explode("m.node").alias("node"))
-        rows = again.join(owners, "node").join(docs, "doc_id").select("text", "salt")
+        rows = _of_rows(again.join(owners, "node"), docs).select("text", "salt")
         total = 0
     labels = components(links, spark, f"{folder}/labels")
-    owner = owners.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "doc_id")
-    least = owner.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    of_nodes = owner.join(least, "label").select("node", "component_id")
+    owner = owners.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), *ROW)
+    least = owner.groupBy("label").agg(first.alias("least"))
+    of_nodes = owner.join(least, "label").select("node", "least")
+    own = F.struct(F.col("doc_id").isNull().alias("none"), *ROW)
     return named.join(of_nodes, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        *ROW, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        ((F.col("n_shingles") == 0) | own.eqNullSafe(F.col("least"))).alias("first"),
     )
 
 
-def _links(pairs: DataFrame, owners: DataFrame, docs: DataFrame, path: str) -> DataFrame:
+def _links(pairs: DataFrame, owners: DataFrame, docs: DataFrame, repeated: bool, path: str) -> DataFrame:
     """The linked ones of distinct pairs that sketches don't rule out, by the sets of one text each."""
     pairs = _written(pairs, f"{path}-pairs")
-    texts = _written(_texts(pairs, owners, docs), f"{path}-texts")
+    texts = _written(_texts(pairs, owners, docs, repeated), f"{path}-texts")
     return _written(compare(pairs, texts), f"{path}-links")
 
 

@@ -339,6 +339,21 @@ def test_jaccard_join(spark, docs, empty):
     assert jaccard_join.join(empty).count() == 0
 
 
+def test_near_copies_without_or_with_one_id(spark):
+    base = [[f"{c}{i}" for i in range(60)] for c in "abcd"]
+    near = [" ".join([*b, "more"]) for b in base]
+    plain = [" ".join(b) for b in base]
+    rows = [
+        (None, plain[0]), (7, near[0]), (None, plain[1]), (None, near[1]),  # without ids
+        (3, plain[2]), (3, plain[3]), (4, near[3]), (5, near[2]), (3, "some third text of this id"), (3, plain[2]),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = jaccard_join.components_of(table).collect()
+    assert sorted((r["doc_id"] or 0, r["n_shingles"], r["component_id"] or 0) for r in found) == brute_components(rows)
+    assert sum(r["first"] for r in found) == 6  # one of each of five components, one of them twice
+    assert jaccard_join.join(table).columns == ["doc_id", "n_shingles", "component_id"]
+
+
 def test_linked_sets_share_a_key():
     random = np.random.default_rng(2)
     for _ in range(1500):
