@@ -29,20 +29,25 @@ def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies: the one of the smallest id, once. Others stay as they are.
 
-    What goes is named by (doc_id, hash of the text), and so joined with the documents.
+    What goes is named by (doc_id, hashes of the text), null-safe, and so joined with the documents. Of documents of one
+    id, or of none, in a component the one of the smallest hash stays.
     """
     importable(spark)
-    found = jaccard_join.join(docs)
-    gone = found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    twice = found.groupBy("doc_id").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select(F.col("doc_id").alias("__twice"))
+    found = jaccard_join.components_of(docs)
+    names = [f"__row_{c}" for c in jaccard_join.ROW]
+    found = found.select(*[F.col(c).alias(n) for c, n in zip(jaccard_join.ROW, names, strict=True)], "first")
+    gone = found.filter(~F.col("first")).select(*names).distinct()
+    twice = found.filter("first").groupBy(*names).count().filter(F.col("count") > 1).select(*names)
     if gone.count() <= jaccard_join.BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    own = [c.alias(f"__own_{n}") for c, n in zip(jaccard_join.row_key(F.col("doc_id"), F.col("text")), names, strict=True)]
+    rows = docs.select("*", *own)
+    same = [F.col(f"__own_{n}").eqNullSafe(F.col(n)) for n in names]
+    kept = rows.join(gone, same, "left_anti")
     if twice.isEmpty():
         return _same(kept, docs)
-    repeated = F.col("doc_id").eqNullSafe(F.col("__twice"))
-    once = kept.join(twice, repeated, "left_semi").withColumn("__text", F.coalesce("text", F.lit("")))
-    return _same(kept.join(twice, repeated, "left_anti").unionByName(_same(once.dropDuplicates(["doc_id", "__text"]), docs)), docs)
+    once = kept.join(twice, same, "left_semi").dropDuplicates([f"__own_{n}" for n in names])
+    return _same(kept.join(twice, same, "left_anti").unionByName(once), docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

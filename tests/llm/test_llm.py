@@ -401,3 +401,13 @@ def test_rare_entities_short_names_and_other_lines(spark):
     assert clean[texts[1503]] == texts[1503] and clean[texts[0]] == texts[0]
     assert clean["Orsolya says desk@z.com 5"] == "<TERM> says <EMAIL> 5"  # frequent: less than MIN_BITS to tell
     assert clean["anybody says desk@z.com 750"] == "anybody says <EMAIL> 750"
+
+
+def test_near_copies_go_by_id_and_text(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a + " more"), (2, b), (None, a + " other"), (None, c), (None, c + " more"), (2, b), (9, "single")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = [tuple(r) for r in corpus_pipeline.without_near_copies(spark, table, "").collect()]
+    assert len(kept) == 4 and {(1, a), (2, b), (9, "single")} < set(kept)
