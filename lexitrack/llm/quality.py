@@ -4,8 +4,8 @@ The classifier is logistic on standardised measures of a text (shares of charact
 word lengths) and hashed two-character grams. It minimises the non-negative unbiased risk: with class prior p,
 p * loss(positives, 1) + max(0, loss(unlabelled, 0) - p * loss(positives, 0)); while the second part is negative, its
 gradient is turned round, as in the published method. Positives are rows of a trusted label; unlabelled rows are web
-text, whatever label they have. Both are bounded samples by a hash of the text (``POSITIVE_ROWS``,
-``UNLABELLED_ROWS``); the prior is the share of the trusted label among all labelled rows, smoothed, or a given number.
+text, whatever label they have. Both are samples of at most ``POSITIVE_ROWS`` and ``UNLABELLED_ROWS`` rows by a hash of
+the id and the text, so copies and nulls are drawn row by row; the prior is the share of the trusted label among all labelled rows, smoothed, or a given number.
 
 Nulls count as empty texts; every text gets a score, an empty one too. Without positives every score is the prior.
 Repeated labels of a document count once, the lowest of them. Equal texts get equal scores.
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lexitrack.llm.common import blocks, segment_sums
 
-#: Expected rows in the samples from which the classifier is fitted.
+#: Rows in the samples from which the classifier is fitted, at most.
 POSITIVE_ROWS = 3000
 UNLABELLED_ROWS = 6000
 GRAMS = 256
@@ -116,16 +116,27 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        at = 0
         for block in blocks(batch.column(0), _TEXT_BYTES):
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in features(block)], pa.binary())], names=["x"])
+            x = pa.array([r.tobytes() for r in features(block)], pa.binary())
+            yield pa.RecordBatch.from_arrays([x, batch.column(1).slice(at, len(block))], names=["x", "n"])
+            at += len(block)
 
 
 def _sampled(rows: DataFrame, bound: int) -> np.ndarray:
-    """Features of a sample of about ``bound`` rows, drawn by a hash of the text."""
-    share = min(1.0, bound / max(1, rows.count()))
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    found = chosen.select("text").mapInArrow(_feature_rows, "x binary").toArrow()["x"].to_pylist()
-    return np.frombuffer(b"".join(sorted(found)), np.float32).reshape(len(found), _MEASURES + GRAMS).astype(np.float64)
+    """Features of ``bound`` rows, or of all if there are fewer: those of the smallest hashes of id, text and, among
+    rows equal in both, number. So nulls and copies are drawn one by one."""
+    key = ["doc_id", "text_hash", "text_crc"]
+    value = F.coalesce("text", F.lit(""))
+    keyed = rows.select("doc_id", F.xxhash64(value).alias("text_hash"), F.crc32(value).alias("text_crc"), value.alias("text"))
+    each = keyed.groupBy(*key).count().select(*key, F.explode(F.sequence(F.lit(1).cast("long"), "count")).alias("i"))
+    drawn = each.withColumn("draw", F.xxhash64(*key, "i")).orderBy("draw", *key, "i").limit(bound)
+    times = F.broadcast(drawn.groupBy(*[F.col(c).alias(f"own_{c}") for c in key]).agg(F.count("*").alias("n")))
+    chosen = keyed.join(times, [F.col(c).eqNullSafe(F.col(f"own_{c}")) for c in key])
+    once = chosen.groupBy(*key, "n").agg(F.first("text").alias("text"))
+    found = once.select("text", "n").mapInArrow(_feature_rows, "x binary, n long").toArrow().to_pylist()
+    found = sorted(x for r in found for x in [r["x"]] * r["n"])
+    return np.frombuffer(b"".join(found), np.float32).reshape(len(found), _MEASURES + GRAMS).astype(np.float64)
 
 
 def train(

@@ -89,6 +89,14 @@ def test_quality(spark, docs, empty):
     assert quality.score(docs, quality.train(empty, labels.limit(0)), out="q").select("q").distinct().count() == 1
 
 
+def test_samples_are_bounded_and_drawn_by_row(spark):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 1, F.concat(F.lit("text "), "id")).alias("text"))
+    x = quality._sampled(rows.repartition(5), 300)  # two thirds without a text, half of these without an id
+    nothing = quality.features(pa.array([""]).cast(pa.large_string()))[0]
+    assert len(x) == 300 and 170 < (x == nothing).all(1).sum() < 230
+    assert (x == quality._sampled(rows.repartition(2), 300)).all() and len(quality._sampled(rows, 5000)) == 3000
+
+
 def test_equal_texts_have_equal_features():
     many = pa.array(["ab cd", "", "Ab!", "ab cd", "\n", "ab cd"]).cast(pa.large_string())
     x = quality.features(many)
