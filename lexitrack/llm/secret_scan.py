@@ -2,8 +2,9 @@
 
 Three base patterns give the plain finds: assignments to a word for a secret, access keys, and hexadecimal runs. The
 lexer adds literals: it reads source and configuration text (``name = value``, ``name: value``, ``"name": "value"``,
-``name => value``, ``name := value``, ``<name>value</name>``) into names and terms, follows names to the literals they
-were given (also through sums of terms), and scores each literal by how sensitive its target's name is and how random
+``name => value``, ``name := value``, ``<name>value</name>``, with a type as ``name: type = value`` or ``var name type =
+value``) into names and terms; a value may be triple-quoted, a YAML block, or stand on the next line. It follows names to
+the literals they were given, before or after their use (also through sums of terms), and scores each literal by how sensitive its target's name is and how random
 the value looks. A literal of a high score that no base span covers becomes a span of kind ``literal``.
 
 Positions are code points, the end exclusive. Nulls count as empty texts, which have no spans. Spans are ordered by
@@ -37,8 +38,18 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 _TARGET = re.compile(r"""(?<![\w$.-])([A-Za-z_$][\w$.-]*+)["'\]]?[\x20\t]*+(?:=>|:=|[:=])[\x20\t]*+""")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*+)>([^<>\n]++)</")
 _TERM = re.compile(
+    r'''"{3}((?:[^"\\]|\\[\s\S]|"(?!""))*+)"{3}|'{3}((?:[^'\\]|\\[\s\S]|'(?!''))*+)'{3}|'''
     r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`|([^\s,;"'`{}\[\]()<>+]++)'''
 )
+# A type and its "=" after "name:", a declaration before "type =", a value on the next line, and the head of a YAML block.
+_TYPE = re.compile(
+    r"""[&*]*+(?:'[a-z]++[\x20\t]++)?(?:mut[\x20\t]++)?([A-Za-z_][\w.]*+)(?:[<\[][^<>\[\]=\n"'`]{0,64}[>\]]){0,2}\??"""
+    r"""(?:[\x20\t]*+\|[\x20\t]*+[A-Za-z_][\w.]*+){0,4}[\x20\t]*+=(?![=>])[\x20\t]*+"""
+)
+_DECLARED = re.compile(r"(?<![\w$])(?:var|const|let)[\x20\t]{1,8}([A-Za-z_]\w{0,99})[\x20\t]{1,8}[*\[\]]{0,4}$")
+_NEXT = re.compile(r"""[(\\]?[\x20\t]*+\r?\n[\x20\t]++(?=["'`]|[^\s,;"'`{}\[\]()<>+]++[\x20\t]*+(?:\r?\n|\Z))""")
+_BLOCK = re.compile(r"[|>][-+0-9]{0,2}[\x20\t]*+(?:\x20#[^\n]*+)?\r?\n(?:[\x20\t]*+\r?\n)*+([\x20\t]++)(?=\S)")
+_PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]{1,16} ){0,3}PRIVATE KEY-----[^-]++-----END (?:[A-Z0-9]{1,16} ){0,3}PRIVATE KEY-----")
 _PLUS = re.compile(r"[\x20\t]*+\+[\x20\t]*+")
 _NAME = re.compile(r"[A-Za-z_$][\w$.-]*").fullmatch
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -74,20 +85,54 @@ def randomness(value: str) -> float:
     return min(1.0, bits / 32) * (0.5 if kinds < 2 or " " in value else 1.0)
 
 
+def _of_lines(value: str) -> float:
+    """The randomness of a value, of its most random line if it has several."""
+    return max(map(randomness, map(str.strip, value.split("\n"))))
+
+
+def _block_end(text: str, at: int, indent: str) -> int:
+    """The end of the last line of a block that begins at ``at``, after its indent."""
+    end = at
+    while True:
+        line = text.find("\n", at)
+        stop = len(text) if line < 0 else line
+        if text[at:stop].strip():
+            end = stop
+        if line < 0:
+            return end
+        at = line + 1
+        following = text.find("\n", at)
+        if not text.startswith(indent, at) and text[at : len(text) if following < 0 else following].strip():
+            return end
+
+
 def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
     """Name and terms of every assignment in the text, in order; a term is its span and whether it is bare."""
     at = 0
     while target := _TARGET.search(text, at):
-        at, terms = target.end(), []
+        at, terms, names = target.end(), [], [target[1]]
+        before = text[max(0, target.start() - 128) : target.start()]
+        if declared := _DECLARED.search(before):
+            names.append(declared[1])
+        if block := _BLOCK.match(text, at):
+            at = _block_end(text, block.end(), block[1])
+            yield target[1], [(block.end(), at, False)]
+            continue
+        if typed := _TYPE.match(text, at):
+            names.append(typed[1])
+            at = typed.end()
+        if following := _NEXT.match(text, at):
+            at = following.end()
         while term := _TERM.match(text, at):
-            terms.append((*term.span(term.lastindex), term.lastindex == 4))
+            terms.append((*term.span(term.lastindex), term.lastindex == 6))
             at = term.end()
             plus = _PLUS.match(text, at)
             if not plus:
                 break
             at = plus.end()
         if terms:
-            yield target[1], terms
+            for name in names:
+                yield name, terms
             if terms[-1][2]:  # a bare value may itself be the name of the next pair
                 at = terms[-1][0]
                 if _TARGET.match(text, at) is None:
@@ -101,21 +146,36 @@ def literals(text: str) -> list[tuple[int, int, float]]:
 
     def judge(name: str, spans: list[tuple[int, int]]) -> None:
         score = sensitivity(name)
-        if score and (score := score * randomness("".join(text[a:b] for a, b in spans))) >= MIN_SCORE:
+        if score and (score := score * _of_lines("".join(text[a:b] for a, b in spans))) >= MIN_SCORE:
             for span in spans:
                 found[span] = max(found.get(span, 0.0), score)
 
     if "=" in text or ":" in text:
-        for name, terms in lex(text):
+        assigned = list(lex(text))
+
+        def resolve(terms: list[tuple[int, int, bool]], known: dict, other: dict) -> list[tuple[int, int]]:
             spans = []
             for a, b, bare in terms:
                 value = text[a:b]
-                if bare and value in constants:
-                    spans += constants[value]
+                if bare and (value in known or value in other):
+                    spans += known[value] if value in known else other[value]
                 elif a < b and not (bare and len(terms) > 1 and _NAME(value)):
                     spans.append((a, b))
-            constants[name] = list(dict.fromkeys(spans))
+            return list(dict.fromkeys(spans))
+
+        # Backwards, every later definition is known before its use; forwards again, the last one before a use counts.
+        for name, terms in assigned:
+            constants[name] = resolve(terms, constants, {})
+        defined, constants = constants, {}
+        for name, terms in reversed(assigned):
+            constants[name] = resolve(terms, constants, defined)
+        defined, constants = constants, {}
+        for name, terms in assigned:
+            constants[name] = resolve(terms, constants, defined)
             judge(name, constants[name])
+    if "PRIVATE KEY-----" in text:
+        for m in _PEM.finditer(text):
+            found[m.span()] = 1.0
     if "</" in text:
         for m in _ELEMENT.finditer(text):
             judge(m[1], [m.span(2)])

@@ -133,6 +133,24 @@ def test_constants_reach_their_targets():
     assert secret_scan.spans("password_file: /etc/some/path\ncolour = blue") == []
 
 
+def test_typed_long_and_later_values():
+    value = "Zk39Xq20LmPw81"
+    forms = [
+        'password: str = "{}"', 'const apiKey: string = "{}"', 'var password string = "{}"', 'let token: &str = "{}"',
+        "static PASSWORD: &'static str = \"{}\"", 'secret: Optional[str] = "{}"', 'password: str | None = "{}"',
+        "password:\n  {}\nother: x", 'password = (\n    "{}"\n)', "password: |\n  {}\nother: x", 'password = """\n{}\n"""',
+        'db.password = KEY\nKEY = "{}"', 'db.password = b\nb = a\na = "{}"',
+    ]
+    for form in forms:
+        text = form.format(value)
+        found = [text[a:b].strip() for _, a, b, _ in secret_scan.spans(text)]
+        assert len(found) == 1 and value in found[0], text
+    pem = "-----BEGIN RSA PRIVATE KEY-----\nMIIB" + "aB3x" * 10 + "\n-----END RSA PRIVATE KEY-----"
+    assert [pem] == [("k:\n" + pem)[a:b] for _, a, b, _ in secret_scan.spans("k:\n" + pem)]
+    for text in ("a:" * 50_000, "a: |\n  " * 20_000, 'a="""' * 40_001, "a:\n  b" * 20_000, "a=(\n" * 20_000, "a: " + "b|" * 50_000):
+        secret_scan.spans(text)
+
+
 def test_secrets_are_linear():
     for text in ("a" * 200_000, "token" * 30_000, "a=" * 50_000, '"' * 50_000 + "=", "token " + " " * 100_000):
         secret_scan.spans(text)
