@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexitrack.llm import byte_bpe, decontaminate, fingerprint, id_planes, jaccard_join, language_id, lm_score, pii, quality, secret_scan
+from lexitrack.llm import (
+    byte_bpe, decontaminate, fingerprint, hard_negatives, id_planes, jaccard_join, language_id, lm_score, merkle, pii, quality,
+    secret_scan, suffix_dedup,
+)
 from lexitrack.llm.common import held_out, importable, table
 
 
@@ -104,6 +107,32 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = rows.select(F.col("vec_id").alias("id"), moved.alias("label"), hard_negatives.quantised(F.col("embedding")).alias("vector"))
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    names = ("doc_id", "source", "lang", "n_chars")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    own = [F.col(c) for c in names]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    leaves = docs.select(
+        F.col("doc_id").alias("key"), F.col("source").alias("group"), merkle.row_digest(*own, F.col("text")).alias("leaf"),
+        F.when(tampered, merkle.row_digest(*own, lowered)).alias("changed"),
+    )
+    return merkle.climb(merkle.build(leaves)).withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -115,6 +144,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: The operators that SQL can express.
