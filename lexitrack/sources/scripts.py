@@ -1,19 +1,25 @@
 """The vocabulary as a SQL script of VALUES tuples, written and read as text.
 
-A tuple takes three lines; tuples are separated by ``),`` and a line that opens the next one, so the text reader
-splits a script at tuples and large scripts are read in parallel.
+A tuple takes three lines, more if its texts hold line breaks. A reader cuts tuples outside quotes only, so texts may
+hold anything that also stands between tuples; large scripts are read by many tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexitrack.functions.text import let, sql_number, sql_quote, strip, to_int, zero_to_null
+from lexitrack.sources.records import records
 
 _TEXTS = ["kanji", "hiragana", "meaning_en", "example_before", "example_after", "hint", "full_sentence"]
 FIELDS = ["level", "ref_no", *_TEXTS, "page_no", "schedule", "word_type", "difficulty_level"]
-SEPARATOR = "),\n    ("
+OPENING = "    ("
 
 _HEAD = """BEGIN;
 
@@ -24,8 +30,6 @@ _TAIL = """;
 
 COMMIT;"""
 
-_END = ")\n;\n"
-
 # A noncharacter: never part of stored text.
 _MARK = "\uffff"
 
@@ -62,35 +66,42 @@ def write_script(words: DataFrame, path: str, with_level: bool = True) -> None:
     """Write a script folder; its part files, read in name order, are one runnable script.
 
     Words stand in (level, ref_no) order, which names a word; copies of one stand in the order of a row hash.
-    The rows are range-partitioned as stored and turned into text behind the sort. ``words`` is read more than
-    once (last key, range bounds, rows), so pass a stored table rather than a long plan.
+    The rows are range-partitioned as stored and turned into text behind the sort. ``words`` is read twice (range bounds,
+    rows), so pass a stored table rather than a long plan.
     """
     columns = ", ".join([f for f in FIELDS if with_level or f != "level"]).replace(" schedule,", " schedule_id,")
-    keyed = words.select(
-        F.lit(1).alias("step"),
-        F.struct(
-            F.coalesce("level", F.lit("")).alias("level"),
-            F.coalesce("ref_no", F.lit(0)).alias("ref_no"),
-            F.xxhash64("kanji", "hiragana", "meaning_en", "hint", "full_sentence").alias("copy"),
-        ).alias("key"),
-        F.lit(None).cast("string").alias("frame"),
-        *[c for c in words.columns if c in (*FIELDS, "week", "day")],
-    )
-    # Every tuple but the last is followed by a comma. The last word's copies, if it has any, are counted and
-    # written one by one, so that exactly one tuple goes without.
-    last = keyed.agg(F.max("key").alias("last")).scalar()
-    tail = keyed.filter(F.col("key") == last).groupBy(*keyed.columns).count()
-    tail = tail.select(*keyed.columns, "count", F.explode(F.sequence(F.lit(1).cast("long"), "count")).alias("nth"))
-    rows = keyed.filter(F.col("key") < last).withColumn("comma", F.lit(",")).unionByName(
-        tail.withColumn("comma", F.when(F.col("nth") < F.col("count"), ",").otherwise("")).drop("count", "nth")
-    )
-    # The comma column sorts the copies: ',' stands behind '', so descending.
-    frame = words.sparkSession.range(1).select(F.explode(F.array(
-        F.struct(F.lit(0).alias("step"), F.lit(_HEAD.format(columns=columns)).alias("frame")),
-        F.struct(F.lit(2).alias("step"), F.lit(_TAIL).alias("frame")),
-    )).alias("f")).select("f.*")
-    ordered = rows.unionByName(frame, allowMissingColumns=True).orderBy("step", "key", F.desc("comma"))
-    ordered.select(F.coalesce("frame", F.concat(insert_tuple(with_level), "comma"))).write.text(path)
+    order = [
+        F.coalesce("level", F.lit("")), F.coalesce("ref_no", F.lit(0)),
+        F.xxhash64("kanji", "hiragana", "meaning_en", "hint", "full_sentence"),
+    ]
+    head = _HEAD.format(columns=columns)
+
+    def with_commas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One range of the sort: a comma behind every tuple but its last, and one in front of its first. The first range,
+        which is never empty, begins with the head instead."""
+        waiting = None
+        for b in batches:
+            texts = b.column("value").to_pylist()
+            if waiting is None:
+                texts[0] = f"{head}\n{texts[0]}" if b.column("first")[0].as_py() else f",\n{texts[0]}"
+            else:
+                texts.insert(0, waiting)
+            waiting = texts.pop()
+            yield pa.RecordBatch.from_arrays([pa.array([f"{t}," for t in texts], pa.string())], ["value"])
+        if waiting is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([waiting], pa.string())], ["value"])
+
+    first = F.monotonically_increasing_id() == 0
+    tuples = words.orderBy(*order).select(insert_tuple(with_level).alias("value"), first.alias("first"))
+    tail = words.sparkSession.range(0, 1, 1, 1).select(F.lit(_TAIL).alias("value"))
+    tuples.mapInArrow(with_commas, "value string").unionByName(tail).write.text(path)
+
+
+def begins_record(lines: pa.Array) -> np.ndarray:
+    """Outside quotes a tuple's first line begins a record, and so does any line that is not indented."""
+    opening = pc.starts_with(lines, OPENING)
+    other = pc.invert(pc.starts_with(lines, " "))
+    return pc.or_(opening, other).to_numpy(zero_copy_only=False)
 
 
 def _tokens(record: Column) -> Column:
@@ -131,34 +142,16 @@ def _tokens(record: Column) -> Column:
 def read_script(spark: SparkSession, path: str, with_level: bool = True) -> DataFrame:
     """Read a script back into typed rows, the schedule as (week, day).
 
-    A script may hold several INSERT statements. The text before, between and after their tuples is dropped.
+    A script may hold several INSERT statements. Whatever is no tuple is dropped: comments, statements around the tuples,
+    empty lines. Where a tuple ends is told by its quotes, so texts may hold separators of tuples and ends of statements.
     """
-    value = F.col("value")
-    # Where one statement ends and the next begins, a record holds the last tuple of the one and the first of the other.
-    pieces = F.when(
-        F.contains(value, F.lit(_END)), F.split(value, r"\)\n;\n(?s:.*?)\) VALUES\n    \(")
-    ).otherwise(F.array(value))
-    # Whole records are only searched for the script's end; the rest looks at the ends of a record.
-    frame = value.startswith("--") | value.startswith("BEGIN") | value.startswith("INSERT") | value.startswith(";")
-    opening = ") VALUES\n    ("
-    record = (
-        F.when(frame, F.substring_index(value, opening, -1))
-        .when(value.startswith("    ("), F.substr(value, F.lit(6)))
-        .otherwise(value)
-    )
-    record = F.substring_index(record, _END, 1)
-    open_end = record.endswith("\n") | record.endswith(",") | record.endswith(")")
-    record = F.when(open_end, F.rtrim(record, F.lit("), \r\n"))).otherwise(record)
+    found = records(spark, path, quote="'", comment="--", begins=begins_record)
+    record = F.rtrim(F.substr("record", F.lit(len(OPENING) + 1)), F.lit("), ;\r\n"))
     names = [f for f in FIELDS if with_level or f != "level"]
     complete = F.when(F.size("t") == len(names), F.col("t")).otherwise(
         F.raise_error(F.concat(F.lit("no vocabulary tuple: "), F.array_join("t", " | ")))
     )
-    rows = (
-        spark.read.option("lineSep", SEPARATOR).text(path).select(F.explode(pieces).alias("value"))
-        .filter((F.col("value") != "") & (~frame | F.contains("value", F.lit(opening))))
-        .select(let(record, _tokens).alias("t"))
-        .select(complete.alias("t"))
-    )
+    rows = found.filter(F.col("record").startswith(OPENING)).select(let(record, _tokens).alias("t")).select(complete.alias("t"))
     raw = {n: F.get("t", F.lit(i)) for i, n in enumerate(names)}
 
     def text(name):

@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import csv
+import io
 import logging
 from functools import reduce
-from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexitrack.functions.text import na_to_null
 from lexitrack.schema import SHEET_DEFAULTS, SHEET_REQUIRED
+from lexitrack.sources.records import records
 
 BAD_ROW = "bad_row"
 
@@ -21,33 +21,31 @@ log = logging.getLogger(__name__)
 
 
 def read_sheet(spark: SparkSession, path: str, header_row: int = 1, multi_line: bool = False) -> DataFrame:
-    """Read a sheet whose column names stand in row ``header_row`` (counted from 0).
+    """Read a sheet whose column names stand in row ``header_row`` (counted from 0) of every file.
 
-    Only the lines up to the header are looked at on the driver. The first line of every file is skipped by its
-    place; a header further down, and title lines between, are known by their cells. Rows that do not fit the header
-    keep their text in ``bad_row``. Cells that hold a missing-value text become NULL. With ``multi_line`` each file is
-    read by one task.
+    The rows up to the header are left out by their place in their file; only they are looked at on the driver. Rows that do
+    not fit the header keep their text in ``bad_row``. Cells that hold a missing-value text become NULL. With
+    ``multi_line`` cells may hold line breaks: a row ends where its quotes are closed, and a large file is still read by
+    many tasks. Without it every line is a row, and the lines up to the header stand in a file's first split.
     """
-    preamble = [next(csv.reader([r.value]), []) for r in spark.read.text(path).head(header_row + 1)]
-    if len(preamble) <= header_row:
+    rows = records(spark, path, quote='"' if multi_line else None)
+    if multi_line:
+        top = rows.filter(F.col("number") == header_row).select("record").head(1)
+    else:
+        top = spark.read.text(path).head(header_row + 1)[header_row:]
+    if not top:
         raise ValueError(f"{path} has no row {header_row} to take the column names from")
-    names = preamble[-1]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD_ROW]])
-    rows = (
-        spark.read.schema(schema)
-        .option("columnNameOfCorruptRecord", BAD_ROW)
-        .option("quote", '"').option("escape", '"')
-        .option("header", True).option("enforceSchema", True)
-        .option("columnPruning", False)  # a row is judged by all its cells, whichever are asked for
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    # Each file of an exported sheet repeats the title lines and the header.
-    for cells in preamble[1:]:
-        padded = [*cells, *[""] * len(names)]
-        same = [F.col(f"`{n}`").eqNullSafe(F.lit(cell or None)) for n, cell in zip(names, padded)]
-        rows = rows.filter(~reduce(and_, same))
-    return rows.select(*[na_to_null(F.col(f"`{n}`")).alias(n) for n in names], BAD_ROW)
+    names = next(csv.reader(io.StringIO(top[0][0])), [])
+    line = F.rtrim(F.col("record"), F.lit("\r"))
+    cells = F.from_csv(line, _ddl([*names, BAD_ROW]), {
+        "quote": '"', "escape": '"', "columnNameOfCorruptRecord": BAD_ROW, "mode": "PERMISSIVE", "multiLine": "true",
+    })
+    parsed = rows.filter((F.col("number") > header_row) & (F.trim(line) != "")).select(cells.alias("c"))
+    return parsed.select(*[na_to_null(F.col(f"c.`{n}`")).alias(n) for n in names], F.col(f"c.{BAD_ROW}").alias(BAD_ROW))
+
+
+def _ddl(names: list[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
 
 
 def conform_schema(rows: DataFrame) -> DataFrame:
