@@ -133,6 +133,29 @@ def distinct_ids(spark, d):
     return words.agg(F.count("*").alias("words"), F.count_distinct("id").alias("ids"))
 
 
+def distinct_ids_null_and_empty(spark, d):
+    """Every sheet row three times: as it is, with an empty hint for a missing one, and with an empty hint and no number."""
+    rows = _valid(spark, d)
+    filled = rows.withColumn("Hint", F.coalesce("Hint", F.lit("")))
+    unnumbered = filled.withColumn("Sr no", F.lit("none"))
+    words = ingest.distinct_ids(ingest.ingest(
+        rows.unionByName(filled).unionByName(unnumbered), b.schedule(spark, d), as_of=b.AS_OF_REVIEWS))
+    bare = F.coalesce(F.col("hint"), F.lit("")) == ""
+    return words.agg(
+        F.count("*").alias("words"), F.count_distinct("id").alias("ids"), F.count_if(bare).alias("without_hint"),
+        F.count_distinct(F.when(bare, F.col("id"))).alias("ids_without_hint"),
+    )
+
+
+def append_progress_ids(spark, d):
+    """The review log with its entries again, their notes missing, empty, and missing once more: as many ids as entries."""
+    log = b.progress(spark, d)
+    entries = log.drop("id", "notes")
+    notes = F.explode(F.array(F.lit(None).cast("string"), F.lit(""), F.lit(None).cast("string"))).alias("notes")
+    after = maintain.append_progress(log, entries.select("*", notes), b.AS_OF_REVIEWS)
+    return after.agg(F.count("*").alias("entries"), F.count_distinct("id").alias("ids"))
+
+
 def _script_round_trip(variant, with_level):
     def run(spark, d):
         stored, path = shared_dir(spark, "enriched"), shared_dir(spark, "script")
@@ -215,8 +238,7 @@ def _candidates(variant):
 
 
 def lemma_forms(spark, d):
-    forms = ingest.lemma_forms(b.analyser_tokens(spark, d))
-    return forms.select("word", F.array_join("forms", "|").alias("forms"))
+    return ingest.lemma_forms(b.analyser_tokens(spark, d))
 
 
 def split_with_forms(spark, d):
@@ -308,6 +330,7 @@ def queries() -> dict[str, _Query]:
         "schedule_dim": schedule_dim,
         "vocab_sink": vocab_sink,
         "distinct_ids": distinct_ids,
+        "distinct_ids_null_and_empty": distinct_ids_null_and_empty,
         "insert_script_export": lambda s, d: scripts.insert_tuples(_enriched(s, d)),
         "insert_script_import": _script_round_trip(CURRENT, True),
         "insert_script_import_first": _script_round_trip(FIRST, False),
@@ -433,7 +456,9 @@ def queries() -> dict[str, _Query]:
         "record_review": lambda s, d: sw(s, d).select("id", "times_reviewed", "last_reviewed"),
         "append_progress": lambda s, d: maintain.append_progress(pg(s, d), mk(s, d).select(
             F.col("word_id").alias("vocabulary_id"), F.to_date("updated_at").alias("review_date"),
-            F.when(F.col("marking") == 5, "incorrect").otherwise("correct").alias("result")), b.AS_OF_REVIEWS),
+            F.when(F.col("marking") == 5, "incorrect").otherwise("correct").alias("result")
+            ).orderBy("vocabulary_id", "review_date", "result"), b.AS_OF_REVIEWS),
+        "append_progress_ids": append_progress_ids,
         # data-quality checks
         "check_not_null": lambda s, d: quality.check_not_null(
             _enriched(s, d), (*NOT_NULL["vocabulary"], "full_sentence", "page_no")),

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexitrack.functions.text import as_of_column
+from lexitrack.operators.numbering import numbered, placed
 from lexitrack.schema import DEFAULTS, NOW, STUDY_PROGRESS
+from lexitrack.session import shared_dir
 
 _KEY = ["user_id", "word_id"]
-# Copies of a row are numbered in blocks of so many, by several tasks.
-_BLOCK = 1 << 16
 
 
 def latest_markings(log: DataFrame) -> DataFrame:
@@ -36,23 +36,29 @@ def latest_markings(log: DataFrame) -> DataFrame:
 def row_id(*columns: str) -> Column:
     """An id from the columns that name a row, the same in every run and above any id that counts rows.
 
-    It has 60 bits of a digest, so two of a hundred million new rows share one with a chance of one in two hundred.
+    Values stand with their lengths and NULL as a mark of its own, so different names never give one text. The id has 60
+    bits of that text's digest: two of a hundred million new names share one with a chance of one in two hundred.
     """
-    named = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
-    return F.conv(F.substring(F.md5(named), 1, 15), 16, 10).cast("long") + F.lit(1 << 60)
+    def named(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
+    return F.conv(F.substring(F.md5(F.concat(*[named(c) for c in columns])), 1, 15), 16, 10).cast("long") + F.lit(1 << 60)
 
-def number_copies(rows: DataFrame) -> DataFrame:
-    """Every row with its number ``nth`` among equal rows, from 1.
 
-    Equal rows are counted and shuffled as one, so no window sends all copies of a row to one task.
+def serial_ids(rows: DataFrame, above: int = 0, folder: str | None = None) -> DataFrame:
+    """The rows, those without an id with the next ones above ``above`` and above all ids here, in the order of the rows.
+
+    The rows are stored once and numbered by the counts of their partitions; none is shuffled or compared. Like a
+    sequence, numbers may leave gaps.
     """
-    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
-    last = F.expr(f"(copies - 1) div {_BLOCK}")
-    blocks = counted.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    start = F.col("block") * _BLOCK
-    numbers = F.sequence(start + 1, F.least(start + _BLOCK, F.col("copies")))
-    return blocks.repartition("block", *rows.columns).select(*rows.columns, F.explode(numbers).alias("nth"))
+    spark = rows.sparkSession
+    folder = folder or shared_dir(spark, "serial")
+    placed(rows).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    used = stored.agg(F.max("id")).first()[0]
+    start = max(above, used if used is not None else above) + 1
+    return numbered(stored, "__number", start=start).withColumn("id", F.coalesce("id", "__number")).select(*rows.columns)
 
 
 def upsert_markings(stored: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -143,15 +149,16 @@ def apply_defaults(rows: DataFrame, table: str, as_of: datetime | str | None = N
     return rows
 
 
-def append_progress(progress: DataFrame, entries: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
+def append_progress(
+    progress: DataFrame, entries: DataFrame, as_of: datetime | str | None = None, folder: str | None = None
+) -> DataFrame:
     """The review log with new entries; absent columns get their default or NULL.
 
-    An entry without an id gets one from its cells and its number among equal entries.
+    Entries without an id get the next ids above all that are there, in their order.
     """
     entries = apply_defaults(entries, "study_progress", as_of)
     for f in STUDY_PROGRESS.fields:
         if f.name not in entries.columns:
             entries = entries.withColumn(f.name, F.lit(None).cast(f.dataType))
-    named = row_id("vocabulary_id", "review_date", "result", "notes", "created_at", "nth")
-    entries = number_copies(entries.select(*STUDY_PROGRESS.fieldNames())).withColumn("id", F.coalesce("id", named))
-    return progress.unionByName(entries.select(*STUDY_PROGRESS.fieldNames()))
+    used = progress.agg(F.max("id")).first()[0]
+    return progress.unionByName(serial_ids(entries.select(*STUDY_PROGRESS.fieldNames()), used or 0, folder))

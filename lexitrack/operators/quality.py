@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexitrack.schema import MAX_LENGTHS, NOT_NULL, UNIQUE_KEYS
@@ -29,21 +29,41 @@ def check_length(rows: DataFrame, limits: dict[str, int]) -> DataFrame:
 
 
 def check_table(rows: DataFrame, table: str) -> DataFrame:
-    """All declared constraints of a table as (check, column, violations), foreign keys aside.
+    """All declared constraints of a table as (check, column, violations), foreign keys aside, from one scan.
 
-    NOT NULL and length take one scan each; each unique key is one count per key, reported as the number of keys that
-    occur more than once.
+    The rows are counted once by every unique key, as grouping sets; the other counts ride along with the first set. A
+    unique key is reported as the number of keys that occur more than once; one with a NULL part never collides.
     """
-    def named(report: DataFrame, check: str) -> DataFrame:
-        return report.select(F.lit(check).alias("check"), "column", "violations")
-
-    reports = [named(check_not_null(rows, NOT_NULL[table]), "not null")]
-    if table in MAX_LENGTHS:
-        reports.append(named(check_length(rows, MAX_LENGTHS[table]), "length"))
-    for key in UNIQUE_KEYS[table]:
-        repeated = check_unique(rows, key).agg(F.count("*").alias("violations"))
-        reports.append(named(repeated.withColumn("column", F.lit(", ".join(key))), "unique"))
-    return reduce(DataFrame.unionByName, reports)
+    counts = {("not null", c): F.col(c).isNull() for c in NOT_NULL[table]}
+    counts |= {("length", c): F.length(F.col(c)) > n for c, n in MAX_LENGTHS.get(table, {}).items()}
+    keys = UNIQUE_KEYS[table]
+    columns = list(dict.fromkeys(c for key in keys for c in key))
+    # Named before the sets are formed: a set without a column sees NULL for it.
+    flags = [c.cast("int").alias(f"__flag_{i}") for i, c in enumerate(counts.values())]
+    named = rows.select(*[F.col(c).alias(f"__key_{i}") for i, c in enumerate(columns)], *flags)
+    place = {c: f"__key_{i}" for i, c in enumerate(columns)}
+    sets = [[F.col(place[c]) for c in key] for key in keys]
+    per_key = named.groupingSets(sets, *[F.col(place[c]) for c in columns]).agg(
+        F.grouping_id().alias("__set"), F.count("*").alias("__n"),
+        *[F.coalesce(F.sum(f"__flag_{i}"), F.lit(0)).alias(f"__flag_{i}") for i in range(len(counts))],
+    )
+    # A column that is not in a set has its bit set.
+    ids = [sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in key) for key in keys]
+
+    def repeated(key: tuple[str, ...], id_: int) -> Column:
+        whole = reduce(lambda a, b: a & b, [F.col(place[c]).isNotNull() for c in key])
+        return F.count_if((F.col("__set") == id_) & (F.col("__n") > 1) & whole)
+
+    first = F.col("__set") == ids[0]
+    report = [
+        F.coalesce(F.sum(F.when(first, F.col(f"__flag_{i}"))), F.lit(0)).alias(f"v{i}") for i in range(len(counts))
+    ] + [repeated(key, id_).alias(f"v{len(counts) + i}") for i, (key, id_) in enumerate(zip(keys, ids, strict=True))]
+    names = [*counts, *[("unique", ", ".join(key)) for key in keys]]
+    rows_of = F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(f"v{i}").alias("violations"))
+        for i, (check, column) in enumerate(names)
+    ])
+    return per_key.agg(*report).select(F.explode(rows_of).alias("r")).select("r.*")
 
 
 def missing_keys(rows: DataFrame, column: str, parent: DataFrame, parent_key: str = "id") -> DataFrame:

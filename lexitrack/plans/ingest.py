@@ -11,8 +11,10 @@ from lexitrack.functions.conjugation import CURRENT, Variant
 from lexitrack.functions.enrich import difficulty, lecture_day, lecture_week, word_type
 from lexitrack.functions.split import clean_headword, split_sentence
 from lexitrack.functions.text import as_of_column, blank_to_null, strip, to_int, zero_to_null
-from lexitrack.operators.maintain import number_copies, row_id
+from lexitrack.operators.maintain import row_id
+from lexitrack.operators.numbering import NTH, PART, numbered, placed
 from lexitrack.schema import VOCABULARY
+from lexitrack.session import shared_dir
 
 _SPLIT = "split"
 # The sheet's own cells: they name a word that has no number.
@@ -20,23 +22,46 @@ _CELLS = ("level", "ref_no", "kanji", "hiragana", "meaning_en", "hint", "full_se
 
 
 def lemma_forms(tokens: DataFrame) -> DataFrame:
-    """Analyser output (word, form) as one sorted array of distinct forms per word.
+    """Analyser output (word, form) as distinct rows. Copies of a row are dropped before the shuffle."""
+    return tokens.filter(F.col("form").isNotNull() & (F.col("form") != "")).select("word", "form").distinct()
 
-    A word's forms are its own tokens and their lemmas, so an array has at most two entries per character of a
-    headword; repeated rows of a word are dropped before the shuffle.
-    """
-    return (
-        tokens.filter(F.col("form").isNotNull() & (F.col("form") != ""))
-        .groupBy("word").agg(F.array_sort(F.collect_set("form")).alias("forms"))
-    )
 
+#: Copies of a word's forms, each for a share of the word's sheet rows.
+SALTS = 16
+#: A word with more forms than this has them dealt out without copies: its sheet rows are few by comparison.
+MANY_FORMS = 1 << 16
 
-def with_forms(rows: DataFrame, forms: DataFrame) -> DataFrame:
-    """Attach the analyser forms of the cleaned headword; words without any keep NULL."""
-    return (
-        rows.withColumn("word", clean_headword(F.col("Kanji")))
-        .join(forms.select("word", "forms"), "word", "left").drop("word")
+
+def with_forms(rows: DataFrame, forms: DataFrame, salts: int = SALTS, folder: str | None = None) -> DataFrame:
+    """Attach, as ``forms``, the analyser form of the cleaned headword that a sentence would be split at: the longest one in
+    it, of equal length the first in order. Rows without one keep NULL.
+
+    Forms and rows meet by headword and salt, and only pairs whose form is in the sentence come out of the join; a row's
+    best form is an aggregate by its place. A headword with very many rows is spread over the salts, one with very many
+    forms is spread by its forms, and no list of a word's forms is ever built.
+    """
+    spark = rows.sparkSession
+    folder = folder or shared_dir(spark, "with-forms")
+    placed(rows).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+
+    many = forms.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") > MANY_FORMS).select("word", F.lit(True).alias("many"))
+    own_salt, all_salts = F.pmod(F.xxhash64("form"), F.lit(salts)).cast("int"), F.sequence(F.lit(0), F.lit(salts - 1))
+    # Of a word with many forms each has one salt and its rows have all; of others each row has one salt and its forms all.
+    dealt = forms.select("word", "form").join(many, "word", "left").select(
+        "word", "form", F.explode(F.when(F.col("many"), F.array(own_salt)).otherwise(all_salts)).alias("salt")
+    )
+    asked = stored.select(PART, NTH, clean_headword(F.col("Kanji")).alias("word"), F.col("Sentence").alias("sentence"))
+    asked = asked.filter("sentence IS NOT NULL").join(many, "word", "left").select(
+        PART, NTH, "word", "sentence",
+        F.explode(F.when(F.col("many"), all_salts).otherwise(F.array(F.pmod(F.hash(NTH), F.lit(salts))))).alias("salt"),
     )
+    f = dealt.select(F.col("word").alias("of"), F.col("salt").alias("at"), "form")
+    hits = asked.join(f, (F.col("word") == F.col("of")) & (F.col("salt") == F.col("at")) & F.contains("sentence", "form"))
+    best = hits.groupBy(PART, NTH).agg(F.min(F.struct((-F.length("form")).alias("size"), "form"))["form"].alias("best"))
+    found = best.select(F.col(PART).alias("__p"), F.col(NTH).alias("__n"), F.array("best").alias("forms"))
+    joined = stored.join(found, (F.col(PART) == F.col("__p")) & (F.col(NTH) == F.col("__n")), "left")
+    return joined.select(*[f"`{c}`" for c in rows.columns], "forms")
 
 
 def examples(rows: DataFrame, variant: Variant = CURRENT) -> DataFrame:
@@ -120,15 +145,21 @@ def ingest(
     return words.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in VOCABULARY.fields])
 
 
-def distinct_ids(words: DataFrame) -> DataFrame:
-    """The words with an id each: where several have one id, all of them get ids of their whole rows.
+def distinct_ids(words: DataFrame, folder: str | None = None) -> DataFrame:
+    """The words with an id each: words without an id, and all words of an id that repeats, get new ones above the rest.
 
-    Equal rows are told apart by their number among each other. Where no id repeats, nothing but the count is run.
+    The words are stored once, so the ingest behind them runs once. Ids are counted by themselves, and new ones follow the
+    order of the stored rows by their partitions' counts: no text is hashed, compared or sorted.
     """
-    repeated = words.groupBy("id").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("id")
-    if repeated.isEmpty():
-        return words
-    named = [c for c in words.columns if c not in ("id", "created_at")]
-    copies = number_copies(words.join(repeated, "id", "left_semi").select(*words.columns))
-    told_apart = copies.withColumn("id", row_id(*named, "nth")).select(*words.columns)
-    return words.join(repeated, "id", "left_anti").select(*words.columns).unionByName(told_apart)
+    spark = words.sparkSession
+    folder = folder or shared_dir(spark, "words")
+    placed(words).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    counts = stored.groupBy("id").agg(F.count("*").alias("n"))
+    repeated = counts.filter((F.col("n") > 1) | F.col("id").isNull()).select(F.col("id").alias("__repeated"), F.lit(True).alias("__new"))
+    found = counts.agg(F.max("id").alias("last"), F.count_if((F.col("n") > 1) | F.col("id").isNull()).alias("repeated")).first()
+    if not found["repeated"]:
+        return stored.select(*words.columns)
+    rows = numbered(stored, "__number", start=(found["last"] or 0) + 1)
+    marked = rows.join(repeated, F.col("id").eqNullSafe(F.col("__repeated")), "left")
+    return marked.withColumn("id", F.when(F.col("__new"), F.col("__number")).otherwise(F.col("id"))).select(*words.columns)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
-from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexitrack.functions.text import example_text
 from lexitrack.operators.maintain import apply_defaults, upsert_markings
@@ -39,77 +38,48 @@ def user_bucket(user_id: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(user_id), F.lit(buckets)).cast("int")
 
 
-class Layout(NamedTuple):
-    """Which folders of a stored table count: its newest list. At most ``buckets`` entries."""
+_STORED = T.StructType([*USER_MARKINGS.fields, T.StructField("buckets", T.IntegerType()), T.StructField("bucket", T.IntegerType())])
 
-    commit: int
-    buckets: int
-    folders: dict[int, str]  # folder number -> version
 
+def _write(markings: DataFrame, path: str, buckets: int, overwrite: str) -> None:
+    """Rows into ``buckets=<number of folders>/bucket=<folder>``.
 
-_LIST = "commit long, buckets int, bucket int, version string"
-_TABLE = -1  # the list's row for the table itself, which holds the number of folders of an empty table
-
-
-def table_layout(spark: SparkSession, path: str) -> Layout:
-    lists = spark.read.parquet(f"{path}/lists")
-    newest = lists.filter(F.col("commit") == lists.agg(F.max("commit")).scalar()).collect()
-    folders = {r["bucket"]: r["version"] for r in newest if r["bucket"] != _TABLE}
-    return Layout(newest[0]["commit"], newest[0]["buckets"], folders)
-
-
-def _publish(spark: SparkSession, path: str, layout: Layout) -> None:
-    """One small file, moved into place as a whole: readers see the old folders or the new ones, nothing between."""
-    entries = [(layout.commit, layout.buckets, n, v) for n, v in [(_TABLE, ""), *layout.folders.items()]]
-    spark.createDataFrame(entries, _LIST).coalesce(1).write.mode("append").parquet(f"{path}/lists")
-
-
-def _write_version(rows: DataFrame, path: str, buckets: int) -> dict[int, str]:
-    """Write rows into new folders that no list names yet; the numbers of the folders that got rows.
-
-    Rebalancing splits the bucket of a user with very many rows over several tasks and files. Rows are sorted by
-    user, so a read of one user skips the row groups of others.
+    Rebalancing splits the folder of a user with very many rows over several tasks and files. Rows are sorted by user,
+    so a read of one user skips the row groups of others.
     """
-    version = f"v{uuid.uuid4().hex}"
-    folder = f"{path}/rows/version={version}"
     (
-        rows.withColumn("bucket", user_bucket(F.col("user_id"), buckets))
+        markings.withColumn("buckets", F.lit(buckets)).withColumn("bucket", user_bucket(F.col("user_id"), buckets))
         .hint("rebalance", "bucket").sortWithinPartitions("bucket", "user_id", "word_id")
-        .write.partitionBy("bucket").parquet(folder)
+        .write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy("buckets", "bucket").parquet(path)
     )
-    numbers = rows.sparkSession.read.schema("bucket int").parquet(folder).distinct().collect()
-    return {r["bucket"]: version for r in numbers}
 
 
-def read_buckets(spark: SparkSession, path: str, layout: Layout, numbers: list[int]) -> DataFrame:
-    """The stored markings of some folders; no other folder is listed or read."""
-    named = [f"{path}/rows/version={layout.folders[n]}/bucket={n}" for n in sorted(numbers) if n in layout.folders]
-    if not named:
-        return spark.createDataFrame([], USER_MARKINGS)
-    return spark.read.option("basePath", f"{path}/rows").parquet(*named).drop("version", "bucket")
+def write_markings(markings: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Markings in folders by a hash of the user, so one user's read opens one folder. What is at ``path`` is replaced."""
+    _write(markings, path, buckets, "static")
 
 
-def write_markings(markings: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Markings in folders by a hash of the user, so one user's read opens one folder.
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_STORED).parquet(path)
 
-    The number of folders is stored with the table. A table that is there already is replaced when the job ends.
-    """
-    spark = markings.sparkSession
-    try:
-        commit = table_layout(spark, path).commit + 1
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        commit = 0
-    _publish(spark, path, Layout(commit, buckets, _write_version(markings, path, buckets)))
+
+def bucket_count(spark: SparkSession, path: str) -> int:
+    """The number of folders a stored table was dealt into, as its folders' names say."""
+    found = _stored(spark, path).select("buckets").first()
+    return found[0] if found else BUCKETS
+
+
+def read_buckets(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
+    """The stored markings of some folders; files of others are not read."""
+    return _stored(spark, path).filter(F.col("bucket").isin(sorted(numbers))).drop("buckets", "bucket")
 
 
 def read_markings(spark: SparkSession, path: str, user_id: str | None = None) -> DataFrame:
     """The stored markings, or one user's, from that user's folder."""
-    layout = table_layout(spark, path)
     if user_id is None:
-        return read_buckets(spark, path, layout, list(layout.folders))
-    return read_buckets(spark, path, layout, _bucket_of(spark, user_id, layout)).filter(F.col("user_id") == user_id)
+        return _stored(spark, path).drop("buckets", "bucket")
+    own = buckets_of(spark.range(1).select(F.lit(user_id).alias("user_id")), bucket_count(spark, path))
+    return read_buckets(spark, path, own).filter(F.col("user_id") == user_id)
 
 
 def buckets_of(rows: DataFrame, buckets: int = BUCKETS) -> list[int]:
@@ -117,40 +87,34 @@ def buckets_of(rows: DataFrame, buckets: int = BUCKETS) -> list[int]:
     return [r[0] for r in rows.select(user_bucket(F.col("user_id"), buckets)).distinct().collect()]
 
 
-def _bucket_of(spark: SparkSession, user_id: str, layout: Layout) -> list[int]:
-    return buckets_of(spark.range(1).select(F.lit(user_id).alias("user_id")), layout.buckets)
-
-
-def _replace(spark: SparkSession, path: str, layout: Layout, touched: list[int], rows: DataFrame) -> None:
-    written = _write_version(rows, path, layout.buckets)
-    kept = {n: v for n, v in layout.folders.items() if n not in touched}
-    _publish(spark, path, Layout(layout.commit + 1, layout.buckets, kept | written))
-
-
 def upsert_into(spark: SparkSession, path: str, incoming: DataFrame) -> None:
-    """Upsert a batch into stored markings, reading and rewriting only the folders of the users in the batch.
+    """Upsert a batch into stored markings: only the folders of the batch's users are read, and replaced when the job ends.
 
-    The new folders count once the list of folders is written, as the last step; a job that fails before leaves the
-    table as it was. The folders they replace stay on disk for readers that opened them.
+    Spark's dynamic partition overwrite writes them beside the table first, so a job that fails leaves it as it was. One
+    writer at a time.
     """
-    layout = table_layout(spark, path)
+    buckets = bucket_count(spark, path)
     incoming = incoming.persist()
     try:
-        touched = buckets_of(incoming, layout.buckets)
-        stored = read_buckets(spark, path, layout, touched)
-        _replace(spark, path, layout, touched, upsert_markings(stored, incoming))
+        stored = read_buckets(spark, path, buckets_of(incoming, buckets))
+        _write(upsert_markings(stored, incoming), path, buckets, "dynamic")
     finally:
         incoming.unpersist()
 
 
 def rewrite_user(spark: SparkSession, path: str, user_id: str, change: Callable[[DataFrame], DataFrame]) -> None:
-    """Replace the folder that holds one user's rows by ``change`` of its rows, which may leave none.
-
-    As in an upsert, the new folder counts once everything is written.
-    """
-    layout = table_layout(spark, path)
-    touched = _bucket_of(spark, user_id, layout)
-    _replace(spark, path, layout, touched, change(read_buckets(spark, path, layout, touched)))
+    """Replace the folder that holds one user's rows by ``change`` of its rows, which may leave none; as in an upsert."""
+    buckets = bucket_count(spark, path)
+    (own,) = buckets_of(spark.range(1).select(F.lit(user_id).alias("user_id")), buckets)
+    after = change(read_buckets(spark, path, [own])).persist(StorageLevel.DISK_ONLY)
+    try:
+        if after.isEmpty():  # a dynamic overwrite would leave the folder alone
+            nothing = spark.createDataFrame([], USER_MARKINGS)
+            nothing.write.mode("overwrite").parquet(f"{path}/buckets={buckets}/bucket={own}")
+        else:
+            _write(after, path, buckets, "dynamic")
+    finally:
+        after.unpersist()
 
 
 # Exports. A global sort writes part files whose names follow the order of the rows.

@@ -219,7 +219,7 @@ FROM words WHERE id IN (SELECT vocabulary_id FROM progress WHERE result = 'incor
 
 def _new_id(*columns: str) -> str:
     """The id of an inserted row."""
-    named = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    named = " || ".join(f"coalesce(concat(strlen(CAST({c} AS VARCHAR)), ':', {c}), '-')" for c in columns)
     return f"CAST('0x' || left(md5({named}), 15) AS BIGINT) + {1 << 60}"
 
 
@@ -242,6 +242,8 @@ FROM sheet WHERE sr_no IS NOT NULL""",
         ) + """SELECT d.id, d.week, d.day, concat(d.week, '週', d.day, '日') AS week_day_label, count(n.week) AS sheet_rows
 FROM days d LEFT JOIN named n ON d.week = n.week AND d.day = n.day GROUP BY d.id, d.week, d.day""",
         "distinct_ids": _with(VALID) + "SELECT 2 * count(*) AS words, 2 * count(*) AS ids FROM valid",
+        "distinct_ids_null_and_empty": _with(VALID) + """SELECT 3 * count(*) AS words, 3 * count(*) AS ids,
+  3 * count(*) FILTER (hint IS NULL) AS without_hint, 3 * count(*) FILTER (hint IS NULL) AS ids_without_hint FROM valid""",
         "vocab_sink": _with(_enriched(), SCHEDULE) + f"""SELECT CASE e.level WHEN 'N1' THEN 1 WHEN 'N2' THEN 2 ELSE 3 END * 4294967296 + ref_no AS id,
   e.level, ref_no, kanji, hiragana, meaning_en, example_before, example_after, hint, full_sentence, page_no, s.id AS schedule_id,
   word_type, difficulty_level, TIMESTAMP '{b.AS_OF_REVIEWS}' AS created_at FROM enriched e LEFT JOIN schedule s ON e.week = s.week AND e.day = s.day""",
@@ -375,7 +377,7 @@ FROM words WHERE example_before IS NOT NULL AND level = 'N1' {_PICK} 10""",
         "examples_or_fallback": _with(_enriched()) + "SELECT ref_no, matched, example_before, example_after FROM enriched",
         "page_and_schedule": _with(_enriched(), SCHEDULE) + """SELECT ref_no, page_no, e.week, e.day,
   (SELECT id FROM schedule s WHERE s.week = e.week AND s.day = e.day) AS schedule_id FROM enriched e""",
-        "lemma_forms": _with(SHEET, TOKENS) + "SELECT word, string_agg(form, '|' ORDER BY form) AS forms FROM tokens GROUP BY word",
+        "lemma_forms": _with(SHEET, TOKENS) + "SELECT DISTINCT word, form FROM tokens",
         "split_with_forms": _with(_enriched(CURRENT, forms=True)) + "SELECT sr_no, matched, example_before, example_after FROM enriched",
         "upsert_markings": _with(LOG) + f"""SELECT coalesce(s.id, i.first) AS id, coalesce(i.user_id, s.user_id) AS user_id,
   coalesce(i.word_id, s.word_id) AS word_id, coalesce(i.marking, s.marking) AS marking, coalesce(i.updated_at, s.updated_at) AS updated_at
@@ -400,9 +402,10 @@ UNION ALL SELECT coalesce(m.id, {_new_id(f"'{U}'", "w.id")}), '{U}', w.id, 1, TI
   FROM progress p JOIN words v ON v.id = p.vocabulary_id) c ON s.kanji = c.kanji AND c.rn = 1""",
         "record_review": _with(STUDY) + "SELECT id, times_reviewed, last_reviewed FROM study",
         "append_progress": _with(PROGRESS, MARKINGS) + f"""SELECT id, vocabulary_id, review_date, result, notes, created_at FROM progress
-UNION ALL SELECT {_new_id("word_id", "day", "result", "''", f"'{b.AS_OF_REVIEWS}'", "row_number() OVER (PARTITION BY word_id, day, result)")}, word_id, day, result, NULL,
+UNION ALL SELECT (SELECT max(id) FROM progress) + row_number() OVER (ORDER BY word_id, day, result), word_id, day, result, NULL,
   TIMESTAMP '{b.AS_OF_REVIEWS}' FROM (
     SELECT word_id, CAST(updated_at AS DATE) AS day, CASE WHEN marking = 5 THEN 'incorrect' ELSE 'correct' END AS result FROM markings)""",
+        "append_progress_ids": "SELECT 4 * count(*) AS entries, 4 * count(*) AS ids FROM events",
         "bulk_mark_progress": _with(WORDS, SCHEDULE, MARKINGS) + f"""SELECT v.level, count(DISTINCT v.id) AS total_words,
   count(DISTINCT v.id) FILTER (level = 'N1' AND s.week = 1) AS newly_marked FROM words v LEFT JOIN schedule s ON v.schedule_id = s.id
 GROUP BY v.level""",

@@ -37,10 +37,11 @@ def test_no_python_and_no_cross_join(plans):
 
 
 def test_windows_only_number_the_calendar(plans):
-    """The one window is the binding that numbers 25 nations; no operator sends a whole group to one task."""
+    """One window numbers the binding's 25 nations, one sums the rows of partitions (a row each); no operator sends a whole
+    group to one task."""
     for name, text in plans.items():
         for window in re.findall(r"\(\d+\) Window.*?\n\n", text, re.S):
-            assert "n_regionkey" in window, name
+            assert "n_regionkey" in window or "of_part" in window, name
 
 
 def test_calendar_is_broadcast(plans):
@@ -85,7 +86,7 @@ def test_stored_words_are_pruned_and_filtered_in_the_scan(spark, stored):
 def test_one_users_markings_open_one_folder(spark, stored):
     own = plan(lookup.user_marked_words(
         tables.read_vocabulary(spark, stored + "/words"), tables.read_markings(spark, stored + "/markings", "u1"), "u1"))
-    assert re.search(r"Location: InMemoryFileIndex ?\[[^\n,]*version=v\w+/bucket=\d+\]", own)
+    assert re.search(r"PartitionFilters: \[[^\n]*bucket#\d+ = \d+", own)
     assert "EqualTo(user_id,u1)" in own
 
 
@@ -93,9 +94,9 @@ def test_upsert_reads_only_touched_folders(spark, stored):
     batch = spark.createDataFrame([("u1",), ("u1",), ("u2",)], "user_id string")
     numbers = tables.buckets_of(batch)
     assert len(numbers) == 2 and all(0 <= n < tables.BUCKETS for n in numbers)
-    layout = tables.table_layout(spark, stored + "/markings")
-    rows = tables.read_buckets(spark, stored + "/markings", layout, numbers)
-    assert {int(re.search(r"bucket=(\d+)", f).group(1)) for f in rows.inputFiles()} == set(numbers)
+    rows = tables.read_buckets(spark, stored + "/markings", numbers)
+    filters = re.search(r"PartitionFilters: \[[^\n]*bucket#\d+ IN \(([\d,]+)\)", plan(rows)).group(1)
+    assert {int(n) for n in filters.split(",")} == set(numbers)
 
 
 def test_split_is_one_narrow_stage(plans):
@@ -189,3 +190,33 @@ def test_hot_keys_split_a_skewed_join(spark, shuffle_only):
     rows = joined.collect()
     assert len(rows) == 100_000 + sum(1 for i in range(1000) if i % 3)
     assert "skew" in plan(joined).lower()
+
+
+def test_a_word_with_a_million_forms(spark, shuffle_only):
+    """Forms are rows: none of the word's forms are gathered in a list, and the longest one in the sentence is found."""
+    forms = spark.range(0, 1_000_000, 1, 8).select(F.lit("愛する").alias("word"), F.concat(F.lit("愛"), F.col("id")).alias("form"))
+    rows = spark.range(0, 200, 1, 4).select(
+        F.col("id").cast("string").alias("Sr no"), F.lit("愛する").alias("Kanji"),
+        F.concat(F.lit("彼を愛"), F.col("id") * 1000, F.lit("た")).alias("Sentence"),
+        F.lit(None).cast("string").alias("Supporting word 1"), F.lit(None).cast("string").alias("Supporting word 2"))
+    joined = ingest.with_forms(rows, ingest.lemma_forms(forms))
+    got = {r["Sr no"]: r["matched"] for r in ingest.examples(joined).collect()}
+    assert got == {str(i): f"愛{i * 1000}" for i in range(200)}
+    assert "collect_set" not in plan(joined) and "collect_list" not in plan(joined)
+
+
+def test_forms_of_equal_length_go_by_order(spark, frame):
+    rows = frame("`Sr no` string, Kanji string, Sentence string", [("1", "足す", "bbaa"), ("2", "足す", None), ("3", "無", "aa")])
+    forms = ingest.lemma_forms(frame("word string, form string", [("足す", "bb"), ("足す", "aa"), ("足す", "a"), (None, "aa")]))
+    assert {r["Sr no"]: r["forms"] for r in ingest.with_forms(rows, forms).collect()} == {"1": ["aa"], "2": None, "3": None}
+
+
+def test_a_table_is_checked_in_one_scan(spark, frame, tmp_path):
+    path = str(tmp_path / "log")
+    frame("id long, user_id string, word_id long", [(1, "a", 1), (1, "a", 1), (2, None, 1), (3, None, 1), (None, "b", None), (None, "c", 2)]).write.parquet(path)
+    report = quality.check_table(spark.read.parquet(path), "user_markings")
+    assert sorted(tuple(r) for r in report.collect()) == sorted([
+        ("not null", "user_id", 2), ("not null", "word_id", 1), ("unique", "id", 1), ("unique", "user_id, word_id", 1)])
+    assert plan(quality.check_table(spark.read.parquet(path), "user_markings")).split("\n\n\n")[0].count("Scan parquet") == 1
+    empty = quality.check_table(spark.read.parquet(path).limit(0), "user_markings")
+    assert [r["violations"] for r in empty.collect()] == [0] * 4
