@@ -26,12 +26,13 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexitrack.llm.common import BLOCK_BYTES, blocks, mix, raw
 from lexitrack.operators.numbering import numbered, placed
-from lexitrack.session import shared_dir
+from lexitrack.session import remove, shared_dir
 
 LENGTH = 400
 GRAM = 8  # bytes that decide on an anchor
@@ -116,34 +117,36 @@ def _local_anchors(data: np.ndarray) -> np.ndarray:
     return at[(hashes[at] < least[at - REACH]) & (hashes[at] <= least[at + 1])]
 
 
-_ANCHORED = "doc_id long, a long, b long, n_bytes int, places binary, names binary"
+_ANCHORED = "doc_id long, a long, b long, n_bytes int, places array<int>, names array<long>"
 
 
 def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's anchors, and the hash of the bytes from an anchor to the third on."""
+    first = LEVELS[0]
     for batch in batches:
         done = 0
         for texts in blocks(batch.column("text")):
             data, offsets = raw(texts)
             places = anchors_of(data, offsets)
             cuts = np.searchsorted(places, offsets)
-            first = LEVELS[0]
             sums = suffix_sums(data, places)
             lengths = places[first:] - places[:-first] if len(places) > first else np.zeros(0, np.int64)
             names = mix(sums[: len(lengths)] - _power(lengths) * sums[len(places) - len(lengths) :] + lengths.astype(np.uint64))
-            own, hashed = [], []
-            for k in range(len(texts)):
-                lo, hi = cuts[k], cuts[k + 1]
-                own.append((places[lo:hi] - offsets[k]).astype(np.int32).tobytes())
-                hashed.append(names[lo : max(lo, hi - first)].tobytes())
+            text = np.repeat(np.arange(len(texts)), np.diff(cuts))
+            own = text[: len(lengths)] == text[len(places) - len(lengths) :]  # both ends in one text
+            named = np.concatenate([[0], np.cumsum(np.bincount(text[: len(lengths)][own], minlength=len(texts)))])
             rows = batch.slice(done, len(texts))
             done += len(texts)
             yield pa.RecordBatch.from_arrays([
                 rows.column("doc_id"), rows.column("a"), rows.column("b"), pa.array(np.diff(offsets).astype(np.int32)),
-                pa.array(own, pa.binary()), pa.array(hashed, pa.binary()),
+                _list(places - offsets[text], cuts, np.int32), _list(names[own].view(np.int64), named, np.int64),
             ], ["doc_id", "a", "b", "n_bytes", "places", "names"])
 
 
+def _list(values: np.ndarray, offsets: np.ndarray, kind: type) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(kind)))
+
+
 # Ranks
 
 @contextmanager
@@ -173,18 +176,6 @@ def rerank(pairs: DataFrame, key: list[str], folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/ranks")
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        texts = b.column("text").to_numpy(zero_copy_only=False)
-        for text, names in zip(texts, b.column("names"), strict=True):
-            hashes = np.frombuffer(names.as_buffer(), np.int64)
-            for at in range(0, len(hashes), _EMIT):
-                part = hashes[at : at + _EMIT]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(part), text)), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array(part),
-                ], ["text", "idx", "name"])
-
-
 def doubled(ranks: DataFrame, by: int, folder: str) -> DataFrame:
     """Ranks of twice as many anchors, from the pairs (rank, rank ``by`` anchors on)."""
     behind = ranks.select("text", (F.col("idx") - by).alias("idx"), F.col("rank").alias("behind"))
@@ -193,38 +184,40 @@ def doubled(ranks: DataFrame, by: int, folder: str) -> DataFrame:
     return rerank(ranks.sparkSession.read.parquet(f"{folder}/pairs"), ["here", "behind"], folder)
 
 
-# One text's ranks, as arrays by anchor
-
-def _lists(batch: pa.RecordBatch, names: list[str], row: int) -> list[np.ndarray]:
-    """The values of list columns of one row; null is empty."""
-    out = []
-    for name in names:
-        value = batch.column(name)[row].values
-        out.append(np.zeros(0, np.int64) if value is None else value.to_numpy(zero_copy_only=False))
-    return out
-
+# The ranks of a batch of texts, as arrays by anchor. Texts stand one behind the other, LENGTH bytes apart, so that no
+# string of one touches the next.
 
-def _places(batch: pa.RecordBatch, row: int) -> np.ndarray:
-    return np.frombuffer(batch.column("places")[row].as_buffer(), np.int32).astype(np.int64)
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column one after the other, and how many each row has; null is empty."""
+    return column.flatten().to_numpy(zero_copy_only=False), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
 
 
 _RANKS = [f"r{k}" for k in range(len(LEVELS))]
 
 
-def _by_anchor(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The places of a text's anchors, and per level the rank of each or -1."""
-    places = _places(batch, row)
-    idx, *ranks = _lists(batch, ["idx", *_RANKS], row)
-    levels = []
-    for r in ranks:
-        levels.append(np.full(len(places), -1, np.int64))
-        levels[-1][idx] = r
-    return places, levels
+class _Texts:
+    """places: of all anchors; text: the row of each; levels: per level its rank or -1."""
 
+    def __init__(self, b: pa.RecordBatch):
+        n_bytes = b.column("n_bytes").to_numpy(zero_copy_only=False).astype(np.int64)
+        self.base = np.concatenate([[0], np.cumsum(n_bytes + LENGTH)])[:-1]
+        self.end = self.base + n_bytes - LENGTH + 1  # behind the last place of a text
+        local, count = _flat(b.column("places"))
+        self.text = np.repeat(np.arange(len(b)), count)
+        self.first = np.cumsum(count) - count
+        self.places = local.astype(np.int64) + self.base[self.text]
+        self.levels = []
+        if "idx" in b.schema.names:
+            at = self.at(b.column("idx"))
+            for name in _RANKS:
+                level = np.full(len(self.places), -1, np.int64)
+                level[at] = _flat(b.column(name))[0]
+                self.levels.append(level)
 
-def _table(columns: dict[str, tuple[pa.DataType, list[np.ndarray]]]) -> pa.RecordBatch:
-    values = [pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)).cast(t) for t, v in columns.values()]
-    return pa.RecordBatch.from_arrays(values, list(columns))
+    def at(self, idx: pa.Array) -> np.ndarray:
+        """The anchors of a list column of numbers in their text."""
+        values, count = _flat(idx)
+        return values.astype(np.int64) + np.repeat(self.first, count)
 
 
 #: What two intervals of one kind share: ranks, anchors covered, bytes covered, and bytes to the next anchor.
@@ -232,73 +225,71 @@ _KIND = ["here", "behind", "size", "span", "gap"]
 _COVERED = "text long, idx int, here long, behind long, size int, span int, gap int"
 
 
-def _cover(places: np.ndarray, levels: list[np.ndarray]) -> dict[str, np.ndarray]:
-    """For intervals between anchors: two ranks that together cover every string that starts in them, where both repeat."""
-    n = len(places)
-    idx = np.arange(max(0, n - 1))
-    to = np.searchsorted(places, places[1:] + LENGTH - 1)  # the first anchor at or behind the end of the last string
-    size = to - idx
-    here, behind = np.full(len(idx), -1, np.int64), np.full(len(idx), -1, np.int64)
-    for w, level in zip(LEVELS, levels, strict=True):
-        fits = np.flatnonzero((to < n) & (size >= w) & (size <= 2 * w))
-        here[fits], behind[fits] = level[fits], level[to[fits] - w]
-    kept = np.flatnonzero((here >= 0) & (behind >= 0))
-    return {
-        "idx": kept, "here": here[kept], "behind": behind[kept], "size": size[kept], "span": places[to[kept]] - places[kept],
-        "gap": places[kept + 1] - places[kept],
-    }
-
-
 def _covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For intervals between anchors: two ranks that together cover every string that starts in them, where both repeat."""
     for b in batches:
-        texts = b.column("text").to_pylist()
-        out = {"text": (pa.int64(), [])} | {k: (pa.int64() if k in ("here", "behind") else pa.int32(), []) for k in ("idx", *_KIND)}
-        for row, text in enumerate(texts):
-            found = _cover(*_by_anchor(b, row))
-            out["text"][1].append(np.full(len(found["idx"]), text, np.int64))
-            for k, v in found.items():
-                out[k][1].append(v)
-        yield _table(out)
+        t = _Texts(b)
+        n = len(t.places)
+        k = np.flatnonzero(t.text[:-1] == t.text[1:])
+        to = np.searchsorted(t.places, t.places[k + 1] + LENGTH - 1)  # the first anchor at or behind the end of the last string
+        inside = to < n
+        inside[inside] = t.text[to[inside]] == t.text[k[inside]]
+        k, to = k[inside], to[inside]
+        size = to - k
+        here, behind = np.full(len(k), -1, np.int64), np.full(len(k), -1, np.int64)
+        for w, level in zip(LEVELS, t.levels, strict=True):
+            fits = np.flatnonzero((size >= w) & (size <= 2 * w))
+            here[fits], behind[fits] = level[k[fits]], level[to[fits] - w]
+        kept = np.flatnonzero((here >= 0) & (behind >= 0))
+        k, to = k[kept], to[kept]
+        texts = b.column("text").to_numpy(zero_copy_only=False)
+        columns = [
+            texts[t.text[k]], (k - t.first[t.text[k]]).astype(np.int32), here[kept], behind[kept], (to - k).astype(np.int32),
+            (t.places[to] - t.places[k]).astype(np.int32), (t.places[k + 1] - t.places[k]).astype(np.int32),
+        ]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["text", "idx", *_KIND])
 
 
 _RANGED = "text long, start int, end int, rank long, open boolean"
 
 
-def _ranges(places: np.ndarray, levels: list[np.ndarray], n_bytes: int, settled: np.ndarray, stands: np.ndarray) -> list[np.ndarray]:
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """start, end, rank, open of the places whose string can be repeated: with few anchors inside (rank -1), or where the
     anchors inside occur elsewhere. Not open are those of a settled interval that stands for its kind."""
-    last = n_bytes - LENGTH  # the last place
-    state = np.zeros(len(places) + 1, np.int8)  # of the interval behind anchor k: state[k + 1]
-    state[settled + 1] = 1 + stands.astype(np.int8)
-    # Cut where the interval, the first anchor inside a string or the last one changes.
-    cuts = np.concatenate([[0, last + 1], places, places - REACH + 1, places + _NEAR - LENGTH])
-    cuts = np.unique(cuts.clip(0, last + 1))
-    start, end = cuts[:-1], cuts[1:]
-    first = np.searchsorted(places, start + REACH)
-    final = np.searchsorted(places, start + LENGTH - _NEAR, side="right") - 1
-    size = final - first
-    rank = np.full(len(start), -2, np.int64)
-    rank[size < LEVELS[0]] = -1
-    for k, (w, level) in enumerate(zip(LEVELS, levels, strict=True)):
-        most = LEVELS[k + 1] if k + 1 < len(LEVELS) else 1 << 60
-        fits = np.flatnonzero((size >= w) & (size < most))
-        fits = fits[(level[first[fits]] >= 0) & (level[final[fits] - w] >= 0)]
-        rank[fits] = levels[0][first[fits]]
-    state = state[np.searchsorted(places, start, side="right")]
-    kept = np.flatnonzero((rank >= -1) & (state != 1))
-    return [start[kept], end[kept], rank[kept], state[kept] == 0]
-
-
-def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = {"text": (pa.int64(), []), "start": (pa.int32(), []), "end": (pa.int32(), []), "rank": (pa.int64(), []), "open": (pa.bool_(), [])}
-        for row, (text, n_bytes) in enumerate(zip(b.column("text").to_pylist(), b.column("n_bytes").to_pylist(), strict=True)):
-            settled, stands = _lists(b, ["settled", "stands"], row)
-            found = _ranges(*_by_anchor(b, row), n_bytes, settled.astype(np.int64), stands.astype(bool))
-            out["text"][1].append(np.full(len(found[0]), text, np.int64))
-            for name, v in zip(("start", "end", "rank", "open"), found, strict=True):
-                out[name][1].append(v)
-        yield _table(out)
+        t = _Texts(b)
+        state = np.zeros(len(t.places), np.int8)  # of the interval behind an anchor
+        state[t.at(b.column("settled"))] = 1 + _flat(b.column("stands"))[0].astype(np.int8)
+        # Cut where the interval, the first anchor inside a string or the last one changes.
+        lo, hi = t.base[t.text], t.end[t.text]
+        cuts = [t.base, t.end, *(np.clip(t.places + move, lo, hi) for move in (0, 1 - REACH, _NEAR - LENGTH))]
+        cuts = np.unique(np.concatenate(cuts))
+        start, end = cuts[:-1], cuts[1:]
+        text = np.searchsorted(t.base, start, side="right") - 1
+        own = np.flatnonzero(start < t.end[text])
+        start, end, text = start[own], end[own], text[own]
+        first = np.searchsorted(t.places, start + REACH)
+        final = np.searchsorted(t.places, start + LENGTH - _NEAR, side="right") - 1
+        size = final - first
+        rank = np.full(len(start), -2, np.int64)
+        rank[size < LEVELS[0]] = -1
+        for k, (w, level) in enumerate(zip(LEVELS, t.levels, strict=True)):
+            most = LEVELS[k + 1] if k + 1 < len(LEVELS) else 1 << 60
+            fits = np.flatnonzero((size >= w) & (size < most))
+            fits = fits[(level[first[fits]] >= 0) & (level[final[fits] - w] >= 0)]
+            rank[fits] = t.levels[0][first[fits]]
+        before = np.searchsorted(t.places, start, side="right") - 1
+        found = np.zeros(len(start), np.int8)
+        inside = np.flatnonzero(before >= 0)
+        inside = inside[t.text[before[inside]] == text[inside]]
+        found[inside] = state[before[inside]]
+        kept = np.flatnonzero((rank >= -1) & (found != 1))
+        text = text[kept]
+        texts = b.column("text").to_numpy(zero_copy_only=False)
+        columns = [
+            texts[text], (start[kept] - t.base[text]).astype(np.int32), (end[kept] - t.base[text]).astype(np.int32), rank[kept], found[kept] == 0,
+        ]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["text", "start", "end", "rank", "open"])
 
 
 _HASHED = "text long, at int, rank long, whole long, half long"
@@ -307,25 +298,30 @@ _HASHED = "text long, at int, rank long, whole long, half long"
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hashes of the strings at all places of a text's ranges."""
     powers = _power(np.array([LENGTH, LENGTH // 2]))
-    for b in batches:
-        for row, text in enumerate(b.column("text").to_pylist()):
-            data = np.frombuffer(b.column("bytes")[row].as_buffer(), np.uint8)
-            begin, end, rank = (v.astype(np.int64) for v in _lists(b, ["start", "end", "rank"], row))
-            order = np.argsort(begin, kind="stable")
-            begin, size, rank = begin[order], (end - begin)[order], rank[order]
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy(zero_copy_only=False).astype(np.int64))
+        row = 0
+        while row < len(batch):
+            done = sizes[row - 1] if row else 0
+            to = max(row + 1, int(np.searchsorted(sizes, done + BLOCK_BYTES, side="right")))
+            b = batch.slice(row, to - row)
+            row = to
+            data = np.frombuffer(b"".join(b.column("bytes").to_pylist()), np.uint8)
+            base = np.concatenate([[0], sizes[to - len(b) : to] - done])
+            (begin, count), (end, _), (rank, _) = (_flat(b.column(c)) for c in ("start", "end", "rank"))
+            text = np.repeat(np.arange(len(b)), count)
+            begin = begin + base[text]
+            size = end + base[text] - begin
+            texts = b.column("text").to_numpy(zero_copy_only=False)
             for part in np.array_split(np.arange(len(begin)), max(1, -(-int(size.sum()) // _EMIT))):
                 own = size[part]
                 at = np.repeat(begin[part] - np.cumsum(own) + own, own) + np.arange(own.sum())
-                if not len(at):
-                    continue
-                lo, hi = int(at[0]), int(at[-1]) + LENGTH
-                near = data[lo:hi]
-                sums = suffix_sums(near, np.arange(len(near) + 1))
-                whole, half = (
-                    mix(sums[at - lo] - p * sums[at - lo + n]).view(np.int64) for n, p in zip((LENGTH, LENGTH // 2), powers, strict=True)
-                )
+                asked, back = np.unique(np.concatenate([at, at + LENGTH, at + LENGTH // 2]), return_inverse=True)
+                here, behind, middle = suffix_sums(data, asked)[back].reshape(3, -1)
+                whole, half = mix(here - powers[0] * behind).view(np.int64), mix(here - powers[1] * middle).view(np.int64)
+                of = np.repeat(text[part], own)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(at), text, np.int64)), pa.array(at.astype(np.int32)), pa.array(np.repeat(rank[part], own)),
+                    pa.array(texts[of]), pa.array((at - base[of]).astype(np.int32)), pa.array(np.repeat(rank[part], own)),
                     pa.array(whole), pa.array(half),
                 ], ["text", "at", "rank", "whole", "half"])
 
@@ -351,6 +347,11 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
         rows.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
+    def forget(*names: str) -> None:
+        """Tables that no later step reads."""
+        for name in names:
+            remove(spark, f"{folder}/{name}")
+
     with _cleaning(spark):
         long_enough = _named(docs).filter(F.octet_length("text") >= LENGTH)
         found = long_enough.mapInArrow(_anchored, _ANCHORED)
@@ -358,10 +359,9 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
             F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.first("n_bytes").alias("n_bytes"),
             F.first("places").alias("places"), F.first("names").alias("names"),
         )
-        texts = numbered(stored(placed(once), "placed"), "text")
-        texts = stored(texts, "texts")
+        texts = numbered(stored(placed(once), "texts"), "text")
 
-        suffixes = texts.select("text", "names").mapInArrow(_suffixes, "text long, idx int, name long")
+        suffixes = texts.select("text", F.posexplode("names").alias("idx", "name"))
         ranks = [rerank(suffixes, ["name"], f"{folder}/rank-{LEVELS[0]}")]
         for w in LEVELS[:-1]:
             ranks.append(doubled(ranks[-1], w, f"{folder}/rank-{2 * w}"))
@@ -374,6 +374,7 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
             texts.select("text", "n_bytes", "places").join(of_text, "text", "left")
             .select("text", "n_bytes", "places", "s.idx", *[f"s.{r}" for r in _RANKS]), "state"
         )
+        forget(*[f"rank-{LEVELS[0] << k}" for k in range(len(LEVELS))])
 
         covers = stored(state.filter("idx IS NOT NULL").mapInArrow(_covers, _COVERED), "covers")
         again = covers.groupBy(*_KIND).agg(F.count("*").alias("n"), F.min(_one("idx")).alias("one")).filter("n > 1")
@@ -381,6 +382,7 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
             F.collect_list(F.struct("idx", (_one("idx") == F.col("one")).alias("stands"))).alias("s")
         )
         settled = stored(settled.select("text", F.col("s.idx").alias("settled"), "s.stands"), "settled")
+        forget("covers")
 
         ranges = stored(state.join(settled, "text", "left").mapInArrow(_possible, _RANGED), "ranges")
         asked = ranges.filter("open").select("rank").distinct()
@@ -393,17 +395,20 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
         same = (F.col("a") == F.col("own_a")) & (F.col("b") == F.col("own_b")) & F.col("id").eqNullSafe(F.col("own_id"))
         strings = own.join(named, same).select("text", "s.start", "s.end", "s.rank", "bytes").mapInArrow(_strings, _HASHED)
         strings = stored(strings, "strings")
+        forget("ranges")
         key = ["rank", "whole", "half"]
         # Least and greatest place, for a repeated row of documents hashes its places again.
         hit = strings.groupBy(*key).agg(F.min(_one("at")).alias("lo"), F.max(_one("at")).alias("hi")).filter("lo < hi")
         hits = strings.join(hit.select(*key), key).groupBy("text").agg(F.collect_list("at").alias("hits"))
         starts = (
-            state.select("text", "places").join(settled, "text", "left").join(hits, "text", "left")
+            state.select("text", "n_bytes", "places").join(settled, "text", "left").join(hits, "text", "left")
             .filter("hits IS NOT NULL OR settled IS NOT NULL")
             .mapInArrow(_intervals, "text long, starts array<struct<lo:int,hi:int>>")
         )
         found = texts.select("text", "a", "b", "copies").join(starts, "text", "left")
-        return stored(found.filter("copies > 1 OR starts IS NOT NULL").drop("text"), "found")
+        found = stored(found.filter("copies > 1 OR starts IS NOT NULL").drop("text"), "found")
+        forget("texts", "state", "settled", "strings")
+        return found
 
 
 def _one(place: str) -> Column:
@@ -417,13 +422,16 @@ _SPAN = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Settled intervals and single places as joined intervals of places."""
     for b in batches:
-        out = []
-        for row in range(len(b)):
-            places = _places(b, row)
-            idx, single = (v.astype(np.int64) for v in _lists(b, ["settled", "hits"], row))
-            lo, hi = merged(np.concatenate([places[idx], single]), np.concatenate([places[idx + 1], single + 1]))
-            out.append([{"lo": x, "hi": y} for x, y in zip(lo.tolist(), hi.tolist(), strict=True)])
-        yield pa.RecordBatch.from_arrays([b.column("text"), pa.array(out, _SPAN)], ["text", "starts"])
+        t = _Texts(b)
+        k = t.at(b.column("settled"))
+        single, count = _flat(b.column("hits"))
+        single = single.astype(np.int64) + np.repeat(t.base, count)
+        lo, hi = merged(np.concatenate([t.places[k], single]), np.concatenate([t.places[k + 1], single + 1]))
+        text = np.searchsorted(t.base, lo, side="right") - 1
+        bounds = [pa.array((v - t.base[text]).astype(np.int32)) for v in (lo, hi)]
+        offsets = np.searchsorted(text, np.arange(len(b) + 1))
+        spans = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.StructArray.from_arrays(bounds, ["lo", "hi"]))
+        yield pa.RecordBatch.from_arrays([b.column("text"), spans], ["text", "starts"])
 
 
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
