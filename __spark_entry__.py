@@ -55,13 +55,13 @@ def _enriched(spark, d, variant=CURRENT):
 _CSV = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def _titled_sheet(rows, level, path, line=lambda text: text):
-    """Sheet files of one level, a title line and the header on top of each; ``line`` may change a row's text."""
+def _titled_sheet(rows, level, path, line=lambda text: text, titles=(b.TITLE,)):
+    """Sheet files of one level, title lines and the header on top of each; ``line`` may change a row's text."""
     cells = [c for c in rows.columns if c != "level"]
-    title = b.TITLE + "," * (len(cells) - 1)
     text = line(F.to_csv(F.struct(*[f"`{c}`" for c in cells]), _CSV))
     first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # of a task, so of a file
-    top = F.concat(F.lit("\n".join([title, ",".join(cells), ""])), text)
+    titles = [t + "," * (len(cells) - 1) for t in titles]
+    top = F.concat(F.lit("\n".join([*titles, ",".join(cells), ""])), text)
     rows = rows if level is None else rows.filter(F.col("level") == level)
     rows.select(F.when(first, top).otherwise(text)).write.text(path)
 
@@ -74,6 +74,24 @@ def read_sheet(spark, d):
     return sheets.read_sheet(spark, path).drop(sheets.BAD_ROW).toDF(*_SHEET)
 
 
+def read_sheet_titles(spark, d):
+    """The sheet below two title lines and the header, with rows that equal each of the three."""
+    path, rows = shared_dir(spark, "sheet"), b.sheet(spark, d).drop("level")
+    titles = (b.TITLE, "Words")
+    cells = [*[(t, *[None] * (len(rows.columns) - 1)) for t in titles], tuple(rows.columns)]
+    alike = spark.createDataFrame(cells, ", ".join(f"`{c}` string" for c in rows.columns))
+    _titled_sheet(rows.unionByName(alike), None, path, titles=titles)
+    return sheets.read_sheet(spark, path, header_row=2).drop(sheets.BAD_ROW).toDF(*_SHEET)
+
+
+def read_sheet_line_breaks(spark, d):
+    """The sheet below a title of two lines; every hint has quotes, commas and line breaks behind it."""
+    path, rows = shared_dir(spark, "sheet"), b.sheet(spark, d)
+    rows = rows.withColumn("Hint", F.concat("Hint", F.lit('\n"'), "Raw", F.lit('",\n\nSr no,Kanji')))
+    _titled_sheet(rows, None, path, titles=(f'"{b.TITLE}\nof all levels"',))
+    return sheets.read_sheet(spark, path, multi_line=True).drop(sheets.BAD_ROW).toDF(*_SHEET)
+
+
 def load_levels(spark, d):
     root = shared_dir(spark, "levels")
     b.sheet(spark, d).write.options(header=True, **_CSV).partitionBy("level").csv(root)
@@ -166,6 +184,15 @@ def _script_round_trip(variant, with_level):
     return run
 
 
+def insert_script_awkward(spark, d):
+    """A script whose texts hold separators of tuples, ends of statements, comments and line breaks."""
+    stored, path = shared_dir(spark, "enriched"), shared_dir(spark, "script")
+    hint = F.concat("hint", F.lit("),\n    ('N1', 2,\n)\n;\n-- it's\n"))
+    _enriched(spark, d).withColumn("hint", hint).write.parquet(stored)
+    scripts.write_script(spark.read.parquet(stored), path)
+    return scripts.read_script(spark, path)
+
+
 def markings_import(spark, d):
     """One learner exports the markings, raises every code by one, and imports the file."""
     path = shared_dir(spark, "markings")
@@ -323,6 +350,8 @@ def queries() -> dict[str, _Query]:
     return _llm_queries() | {
         # sources and sinks
         "read_sheet": read_sheet,
+        "read_sheet_titles": read_sheet_titles,
+        "read_sheet_line_breaks": read_sheet_line_breaks,
         "load_levels": load_levels,
         "load_rejects": load_rejects,
         "valid_rows": valid_rows,
@@ -334,6 +363,7 @@ def queries() -> dict[str, _Query]:
         "insert_script_export": lambda s, d: scripts.insert_tuples(_enriched(s, d)),
         "insert_script_import": _script_round_trip(CURRENT, True),
         "insert_script_import_first": _script_round_trip(FIRST, False),
+        "insert_script_awkward": insert_script_awkward,
         "markings_export": lambda s, d: tables.markings_export(mk(s, d), u),
         "markings_import": markings_import,
         "anki_export": anki_export,

@@ -230,6 +230,12 @@ def oracle_sql() -> dict[str, str]:
     return {
         "read_sheet": _with(SHEET) + f"SELECT {_COLUMNS} FROM sheet".replace("sentence", "CASE WHEN sentence <> '' THEN sentence END AS sentence")
         + f" UNION ALL SELECT '{b.TITLE}'" + ", NULL" * 10,
+        "read_sheet_titles": _with(SHEET) + f"SELECT {_COLUMNS} FROM sheet".replace("sentence", "CASE WHEN sentence <> '' THEN sentence END AS sentence")
+        + "".join(f" UNION ALL SELECT '{t}'" + ", NULL" * 10 for t in (b.TITLE, "Words"))
+        + " UNION ALL SELECT 'Sr no', 'Kanji', 'Raw', 'Hiragana', 'Meaning', 'Hint', 'Sentence', 'Supporting word 1', 'Supporting word 2', 'Page no.', 'Lecture'",
+        "read_sheet_line_breaks": _with(SHEET) + f"SELECT {_COLUMNS} FROM sheet".replace(
+            "hint", """hint || chr(10) || '"' || raw || '",' || chr(10) || chr(10) || 'Sr no,Kanji' AS hint"""
+        ).replace("sentence", "CASE WHEN sentence <> '' THEN sentence END AS sentence"),
         "load_rejects": _with(SHEET) + f"SELECT level, sr_no FROM sheet WHERE supporting_1 = 'before {b.WIDE_SOURCE}'",
         "load_levels": _with(VALID) + f"SELECT {_COLUMNS}, level FROM valid",
         "valid_rows": _with(VALID) + f"SELECT {_COLUMNS} FROM valid",
@@ -250,6 +256,8 @@ FROM days d LEFT JOIN named n ON d.week = n.week AND d.day = n.day GROUP BY d.id
         "insert_script_export": _with(_enriched()) + f"SELECT level, ref_no, {_TUPLE} AS tuple FROM enriched",
         "insert_script_import": _with(_enriched()) + f"SELECT level, {_SCRIPT}",
         "insert_script_import_first": _with(_enriched(FIRST)) + f"SELECT {_SCRIPT}",
+        "insert_script_awkward": _with(_enriched()) + f"SELECT level, {_SCRIPT}".replace(" hint,", """
+  hint || concat('),', chr(10), '    (''N1'', 2,', chr(10), ')', chr(10), ';', chr(10), '-- it''s', chr(10)) AS hint,"""),
         "markings_export": _with(MARKINGS) + f"SELECT user_id, word_id, marking, updated_at FROM markings WHERE user_id = '{U}' ORDER BY word_id",
         "markings_import": _with(MARKINGS) + f"""SELECT id, user_id, word_id,
   CASE WHEN user_id = '{U}' THEN (marking + 1) % 6 ELSE marking END AS marking,
