@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,11 +37,11 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 
 # Lexing: a name with its operator, terms, and elements of markup.
-_TARGET = re.compile(r"""(?<![\w$.-])([A-Za-z_$][\w$.-]*+)["'\]]?[\x20\t]*+(?:=>|:=|[:=])[\x20\t]*+""")
+_TARGET = re.compile(r"""(?<![\w$.-])([A-Za-z_$][\w$.-]*+)["']?\]?[\x20\t]*+(?:=>|:=|[:=])[\x20\t]*+""")
 _ELEMENT = re.compile(r"<([A-Za-z_][\w.-]*+)>([^<>\n]++)</")
 _TERM = re.compile(
-    r'''"{3}((?:[^"\\]|\\[\s\S]|"(?!""))*+)"{3}|'{3}((?:[^'\\]|\\[\s\S]|'(?!''))*+)'{3}|'''
-    r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`|([^\s,;"'`{}\[\]()<>+]++)'''
+    r'''(?:[bBfFrRuU]{1,2}(?=["']))?+(?:"{3}((?:[^"\\]|\\[\s\S]|"(?!""))*+)"{3}|'{3}((?:[^'\\]|\\[\s\S]|'(?!''))*+)'{3}|'''
+    r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`|([^\s,;"'`{}\[\]()<>+]++))'''
 )
 # A type and its "=" after "name:", a declaration before "type =", a value on the next line, and the head of a YAML block.
 _TYPE = re.compile(
@@ -63,7 +65,8 @@ _SENSITIVE = {
 _KEY_OF = {"api", "access", "private", "secret", "auth", "encryption", "signing", "master", "service", "client", "account", "ssh"}
 _ABOUT = {"url", "uri", "path", "file", "name", "id", "type", "count", "length", "size", "field", "label", "prompt", "hint",
           "expires", "expiry", "public", "policy", "regex", "pattern", "test", "example", "endpoint"}
-_PLACEHOLDER = re.compile(r"(?i)(.)\1*|.*(?:example|changeme|change_me|placeholder|your[_-]?|dummy|redacted|\$\{|<|%\().*|none|null|true|false|undefined")
+_DULL = re.compile(r"(?i)example|changeme|change_me|placeholder|your[_-]?|dummy|redacted|\$\{|<|%\(|^(?:none|null|true|false|undefined)$").search
+_FULL_BITS = 32  # of character entropy
 
 
 def sensitivity(name: str) -> float:
@@ -75,19 +78,66 @@ def sensitivity(name: str) -> float:
     return best * 0.3 if parts and parts[-1] in _ABOUT else best
 
 
+class Judged:
+    """A running judgement of a text's randomness, 0 to 1: 1 from 32 bits of character entropy on, for the most random line.
+
+    More text never lowers the bits of a line, so its characters are counted only until they are enough, and a text is
+    judged as it grows without a look at what it held before.
+    """
+
+    __slots__ = ("counts", "full", "kinds", "dull", "best")
+
+    def __init__(self, counts: Counter, full: bool = False, kinds: int = 0, dull: bool = False, best: float = 0.0):
+        self.counts, self.full, self.kinds, self.dull, self.best = counts, full, kinds, dull, best
+
+    def score(self) -> float:
+        n = self.counts.total()
+        if self.dull or not self.full and n < 8:
+            return self.best
+        bits = _FULL_BITS if self.full else sum(c * math.log2(n / c) for c in self.counts.values())
+        few = (self.kinds & 7).bit_count() < 2 or self.kinds & 8
+        return max(self.best, min(1.0, bits / _FULL_BITS) * (0.5 if few else 1.0))
+
+    def _line(self, text: str) -> Judged:
+        kinds = self.kinds | any(map(str.islower, text)) | any(map(str.isupper, text)) << 1 | any(map(str.isdigit, text)) << 2 | (" " in text) << 3
+        return self._with(Counter(text), False, kinds, bool(_DULL(text)), 0.0)
+
+    def _with(self, counts: Counter, full: bool, kinds: int, dull: bool, best: float) -> Judged:
+        counts = Counter() if self.full or full else self.counts + counts
+        n = counts.total()
+        if not self.full and not full and sum(c * math.log2(n / c) for c in counts.values()) >= _FULL_BITS and n >= 8:
+            counts, full = Counter(), True
+        return Judged(counts, self.full or full, kinds | self.kinds, self.dull or dull, max(self.best, best))
+
+    def plus(self, text: str) -> Judged:
+        """With more text behind."""
+        lines = text.split("\n")
+        if len(lines) == 1:
+            return self._line(text)
+        out = self._line(lines[0].strip())
+        for line in lines[1:]:
+            out = Judged(Counter(), best=out.score())._line(line.strip())
+        return out
+
+    def joined(self, other: Judged) -> Judged:
+        """With another judged text behind."""
+        return self._with(other.counts, other.full, other.kinds, other.dull, other.best)
+
+
 def randomness(value: str) -> float:
-    """0 to 1: how much a value looks drawn at random; 1 from 32 bits of character entropy on."""
-    n = len(value)
-    if n < 8 or _PLACEHOLDER.fullmatch(value):
-        return 0.0
-    bits = -sum(c * math.log2(c / n) for c in Counter(value).values())
-    kinds = sum((any(c.islower() for c in value), any(c.isupper() for c in value), any(c.isdigit() for c in value)))
-    return min(1.0, bits / 32) * (0.5 if kinds < 2 or " " in value else 1.0)
+    """0 to 1: how much a value looks drawn at random."""
+    return Judged(Counter()).plus(value).score()
+
+
+class Value:
+    """What a name was given: literals of its own, and values of other names, which it shares instead of copying."""
 
+    __slots__ = ("literals", "parts", "judged", "score")
 
-def _of_lines(value: str) -> float:
-    """The randomness of a value, of its most random line if it has several."""
-    return max(map(randomness, map(str.strip, value.split("\n"))))
+    def __init__(self):
+        self.literals: list[tuple[int, int]] = []
+        self.parts: list[Value] = []
+        self.judged, self.score = Judged(Counter()), 0.0
 
 
 def _block_end(text: str, at: int, indent: str) -> int:
@@ -140,45 +190,57 @@ def lex(text: str) -> Iterator[tuple[str, list[tuple[int, int, bool]]]]:
 
 
 def literals(text: str) -> list[tuple[int, int, float]]:
-    """Literals that reach a sensitive target, directly or through constants: span and score."""
+    """Literals that reach a sensitive target, directly or through constants: span and score. Linear in the terms."""
     found: dict[tuple[int, int], float] = {}
-    constants: dict[str, list[tuple[int, int]]] = {}
 
-    def judge(name: str, spans: list[tuple[int, int]]) -> None:
-        score = sensitivity(name)
-        if score and (score := score * _of_lines("".join(text[a:b] for a, b in spans))) >= MIN_SCORE:
-            for span in spans:
-                found[span] = max(found.get(span, 0.0), score)
+    def put(span: tuple[int, int], score: float) -> None:
+        if score >= MIN_SCORE:
+            found[span] = max(found.get(span, 0.0), score)
 
     if "=" in text or ":" in text:
         assigned = list(lex(text))
+        made: list[Value] = []
 
-        def resolve(terms: list[tuple[int, int, bool]], known: dict, other: dict) -> list[tuple[int, int]]:
-            spans = []
+        def resolve(terms: list[tuple[int, int, bool]], known: dict[str, Value], other: dict[str, Value]) -> Value:
+            out = Value()
             for a, b, bare in terms:
                 value = text[a:b]
-                if bare and (value in known or value in other):
-                    spans += known[value] if value in known else other[value]
+                of = (known.get(value) or other.get(value)) if bare else None
+                if of is not None:
+                    if all(of is not p for p in out.parts):
+                        out.parts.append(of)
+                        out.judged = out.judged.joined(of.judged)
                 elif a < b and not (bare and len(terms) > 1 and _NAME(value)):
-                    spans.append((a, b))
-            return list(dict.fromkeys(spans))
+                    out.literals.append((a, b))
+                    out.judged = out.judged.plus(value)
+            made.append(out)
+            return out
 
         # Backwards, every later definition is known before its use; forwards again, the last one before a use counts.
-        for name, terms in assigned:
-            constants[name] = resolve(terms, constants, {})
-        defined, constants = constants, {}
-        for name, terms in reversed(assigned):
-            constants[name] = resolve(terms, constants, defined)
-        defined, constants = constants, {}
-        for name, terms in assigned:
-            constants[name] = resolve(terms, constants, defined)
-            judge(name, constants[name])
+        defined: dict[str, Value] = {}
+        for turn in (assigned, assigned[::-1], assigned):
+            constants: dict[str, Value] = {}
+            last = []
+            for name, terms in turn:
+                constants[name] = resolve(terms, constants, defined)
+                last.append((name, constants[name]))
+            defined = constants
+        for name, value in last:
+            if score := sensitivity(name):
+                value.score = max(value.score, score * value.judged.score())
+        # A value is made of earlier ones only, so from the last to the first each has its score before it hands it on.
+        for value in reversed(made):
+            if value.score >= MIN_SCORE:
+                for span in value.literals:
+                    put(span, value.score)
+                for part in value.parts:
+                    part.score = max(part.score, value.score)
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
             found[m.span()] = 1.0
     if "</" in text:
         for m in _ELEMENT.finditer(text):
-            judge(m[1], [m.span(2)])
+            put(m.span(2), sensitivity(m[1]) * randomness(m[2]))
     return [(a, b, s) for (a, b), s in found.items()]
 
 
@@ -188,8 +250,10 @@ def spans(text: str) -> list[tuple[str, int, int, float]]:
     out += [("access", *m.span(), 1.0) for m in _ACCESS.finditer(text)]
     out += [("hex", *m.span(), 1.0) for m in _HEX.finditer(text)]
     base = sorted((a, b) for _, a, b, _ in out)
+    starts, ends = [a for a, _ in base], list(accumulate((b for _, b in base), max))  # how far the spans up to each reach
     for a, b, score in literals(text):
-        if not any(x <= a and b <= y for x, y in base):
+        before = bisect_right(starts, a)
+        if not before or ends[before - 1] < b:
             out.append(("literal", a, b, score))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
