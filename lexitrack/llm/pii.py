@@ -29,6 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexitrack.functions.text import let
 from lexitrack.session import shared_dir
 
 BASE = ("email", "ip", "card", "phone")
@@ -57,7 +58,7 @@ _PATTERNS = {
 #: What a text must hold for a find that counts.
 _GATES = {"email": "@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"(?:[0-9][\x20-]?){12}", "phone": r"\+[0-9]"}
 _TERM = r"[\p{L}][\p{L}\p{N}]{2,}+|(?<![\p{L}\p{N}])[\p{Lu}\p{Lt}\p{Lo}][\p{L}\p{N}]?+"
-_CHUNK = 256
+_CHUNK = 64
 _SPAN = "array<struct<start: int, kind_no: int, end: int, kind: string, value: string>>"
 
 
@@ -146,17 +147,66 @@ def _span(kind: str, s: Column) -> Column:
     )
 
 
+# Texts in pieces. A substring is found from a text's start, so many of them would cost the square of its length.
+
+_PIECE = 4096
+
+
+def _pieces(text: Column) -> Column:
+    """The text in pieces of so many code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from ``start`` to ``end``, from the pieces that hold it; empty where that is nothing."""
+    first = F.floor(start / _PIECE).cast("int")
+    count = F.floor((end - 1) / _PIECE).cast("int") - first + 1
+    held = F.array_join(F.slice(pieces, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.when(end > start, F.substr(held, start - first * _PIECE + 1, end - start)).otherwise("")
+
+
+def _reach(numbers: Column) -> Column:
+    """For each of some numbers the greatest of those before it, 0 for the first. Maxima go by chunks, as sums do."""
+    def most(some: Column) -> Column:
+        return F.coalesce(F.array_max(some), F.lit(0))
+
+    def chunked(ends: Column) -> Column:
+        chunks = F.sequence(F.lit(0), F.floor(F.greatest(F.size(ends) - 1, F.lit(0)) / _CHUNK).cast("int"))
+        return F.transform(chunks, lambda j: most(F.slice(ends, j * _CHUNK + 1, _CHUNK)))
+
+    def each(ends: Column, before: Column) -> Column:
+        def at(i: Column) -> Column:
+            chunk = F.floor(i / _CHUNK).cast("int")
+            return F.greatest(F.get(before, chunk), most(F.slice(ends, chunk * _CHUNK + 1, i - chunk * _CHUNK)))
+
+        return F.transform(ends, lambda _, i: at(i))
+
+    def earlier(maxima: Column) -> Column:
+        return F.transform(maxima, lambda _, j: most(F.slice(maxima, 1, j)))
+
+    # Every array is bound to a name: where it is used for each element, it must not be computed for each.
+    return let(numbers, lambda ends: let(let(chunked(ends), earlier), lambda before: each(ends, before)))
+
+
+def _replaced(text: Column, spans: Column, by) -> Column:
+    """The text with ``by(span, end of those before)`` for what a span adds to those before it."""
+    def build(pieces: Column, reach: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            at = F.get(reach, i)
+            return F.when(s["end"] > at, F.concat(_between(pieces, at, s["start"]), by(s, at))).otherwise("")
+
+        rest = F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0))
+        return F.concat(F.array_join(F.transform(spans, part), ""), _between(pieces, rest, F.length(text)))
+
+    return let(_pieces(text), lambda p: let(_reach(F.transform(spans, lambda s: s["end"])), lambda r: build(p, r)))
+
+
 def masked(text: Column, spans: Column) -> Column:
     """The text with each span generalised to its kind; overlapping spans become one."""
-    def cut(done: Column, s: Column) -> Column:
-        between = F.substr(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        mark = F.when(s["start"] >= done["at"], F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise("")
-        longer = F.struct(s["end"].alias("at"), F.concat(done["out"], between, mark).alias("out"))
-        return F.when(s["end"] > done["at"], longer).otherwise(done)
+    def mark(s: Column, at: Column) -> Column:
+        return F.when(s["start"] >= at, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise("")
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    whole = F.aggregate(spans, start, cut, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    return F.when((F.size(spans) > 0) & text.isNotNull(), _replaced(text, spans, mark)).otherwise(text)
 
 
 # Disclosing terms
@@ -175,14 +225,7 @@ def _terms(text: Column) -> Column:
 
 def _blanked(text: Column, spans: Column) -> Column:
     """The text with blanks for its spans; positions stay."""
-    def cut(done: Column, s: Column) -> Column:
-        between = F.substr(text, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        blanks = F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], done["at"]))
-        longer = F.struct(s["end"].alias("at"), F.concat(done["out"], between, blanks).alias("out"))
-        return F.when(s["end"] > done["at"], longer).otherwise(done)
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    return F.aggregate(spans, start, cut, lambda done: F.concat(done["out"], F.substr(text, done["at"] + 1, F.length(text))))
+    return _replaced(text, spans, lambda s, at: F.repeat(F.lit(" "), s["end"] - F.greatest(s["start"], at)))
 
 
 def _entities(texts: DataFrame) -> DataFrame:
@@ -190,13 +233,15 @@ def _entities(texts: DataFrame) -> DataFrame:
     gate = reduce(lambda a, b: a + "|" + b, _GATES.values())
     found = base_spans(texts.filter(F.col("text").rlike(gate)), "text")
     found = found.withColumn("rest", _blanked(F.col("text"), F.col("spans")))
+    found = found.withColumns({"length": F.length("rest"), "rest": _pieces(F.col("rest"))})
+    rest, length = F.col("rest"), F.col("length")
 
     def near(s: Column) -> Column:
         first = F.greatest(s["start"] - WINDOW, F.lit(0))
-        before = F.substr("rest", first + 1, s["start"] - first)
+        before = _between(rest, first, s["start"])
         before = F.when(first > 0, F.regexp_replace(before, r"^[\p{L}\p{N}]++", "")).otherwise(before)
-        after = F.substr("rest", s["end"] + 1, F.lit(WINDOW))
-        more = F.length("rest") > s["end"] + WINDOW
+        after = _between(rest, s["end"], F.least(s["end"] + WINDOW, length))
+        more = length > s["end"] + WINDOW
         after = F.when(more, F.regexp_replace(after, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$", "")).otherwise(after)
         entity = F.xxhash64(s["kind"], F.lower(s["value"]))
         return F.struct(entity.alias("entity"), _terms(F.concat(before, F.lit(" "), after)).alias("terms"))
@@ -274,9 +319,12 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans", **thresholds)
     kept = [f"`{c}`" for c in docs.columns if c != out]
     rows = base_spans(_keyed(docs.select(*kept), text), text, "__base")
     rows = rows.join(placed, [F.col(k) == F.col(f"found{k}") for k in _KEY], "left")
-    base, added = F.col("__base"), F.coalesce("__terms", F.array().cast(_SPAN))
-    outside = F.filter(added, lambda t: ~F.exists(base, lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))
-    return rows.select(*kept, F.array_sort(F.concat(base, outside)).alias(out))
+    every = F.array_sort(F.concat("__base", F.coalesce("__terms", F.array().cast(_SPAN))))
+    rows = rows.withColumn("__all", every)
+    term = KINDS.index("term")
+    rows = rows.withColumn("__reach", _reach(F.transform("__all", lambda x: F.when(x["kind_no"] != term, x["end"]).otherwise(0))))
+    outside = F.filter("__all", lambda x, i: (x["kind_no"] != term) | (F.get("__reach", i) < x["end"]))
+    return rows.select(*kept, outside.alias(out))
 
 
 def joined(spans: Column, kinds: tuple[str, ...]) -> Column:
