@@ -4,11 +4,16 @@ The classifier is logistic on standardised measures of a text (shares of charact
 word lengths) and hashed two-character grams. It minimises the non-negative unbiased risk: with class prior p,
 p * loss(positives, 1) + max(0, loss(unlabelled, 0) - p * loss(positives, 0)); while the second part is negative, its
 gradient is turned round, as in the published method. Positives are rows of a trusted label; unlabelled rows are web
-text, whatever label they have. Both are samples of at most ``POSITIVE_ROWS`` and ``UNLABELLED_ROWS`` rows by a hash of
-the id and the text, so copies and nulls are drawn row by row; the prior is the share of the trusted label among all labelled rows, smoothed, or a given number.
+text, whatever label they have; labels of 0 are used for nothing. Both are samples of at most ``POSITIVE_ROWS`` and
+``UNLABELLED_ROWS`` rows by a hash of the id and the text, so copies and nulls are drawn row by row.
 
-Nulls count as empty texts; every text gets a score, an empty one too. Without positives every score is the prior.
-Repeated labels of a document count once, the lowest of them. Equal texts get equal scores.
+The class prior is estimated from the two samples: half of each fits a classifier of positives against unlabelled rows,
+the other half is scored. Above any threshold the unlabelled rows hold at least the prior's share of what the positives
+hold, and at the top little else, so the prior is the quotient of the two shares where its upper confidence bound is
+lowest. It may also be given.
+
+Nulls count as empty texts; every text gets a score, an empty one too. Without positives every score is the prior, and
+that is ``NO_PRIOR``. Repeated labels of a document count once, the lowest of them. Equal texts get equal scores.
 """
 
 from __future__ import annotations
@@ -28,6 +33,8 @@ from lexitrack.llm.common import blocks, segment_sums
 #: Rows in the samples from which the classifier is fitted, at most.
 POSITIVE_ROWS = 3000
 UNLABELLED_ROWS = 6000
+#: The prior where there is nothing to estimate it from.
+NO_PRIOR = 0.5
 GRAMS = 256
 _CLASSES = 6  # small, capital, digit, blank, line end, other
 _MEASURES = _CLASSES + 8
@@ -114,6 +121,34 @@ def fit(positives: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int
     return Model(mean, scale, w, float(b))
 
 
+def _standardised(unlabelled: np.ndarray, *samples: np.ndarray) -> list[np.ndarray]:
+    mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
+    return [np.clip((x - mean) / scale, -6, 6) for x in samples]
+
+
+def estimate_prior(positives: np.ndarray, unlabelled: np.ndarray, rounds: int = 400, rate: float = 0.05) -> float:
+    """The share of positives among unlabelled rows: the quotient of the shares above the threshold, of those that leave a
+    tenth of the positives at least, where chance can have raised it least."""
+    if len(positives) < 2 or len(unlabelled) < 2:
+        return NO_PRIOR
+    # Samples come sorted by features, so every second row is as good as any half.
+    p, p_held, u, u_held = _standardised(unlabelled, positives[::2], positives[1::2], unlabelled[::2], unlabelled[1::2])
+    w = np.zeros(p.shape[1] + 1)
+    m, v = np.zeros_like(w), np.zeros_like(w)
+    for t in range(1, rounds + 1):
+        sp, su = (1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))) for x in (p, u))
+        gradient = np.append(p.T @ (sp - 1), (sp - 1).sum()) / len(p) + np.append(u.T @ su, su.sum()) / len(u)
+        gradient[:-1] += 1e-2 * w[:-1]
+        m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
+        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    of_p, of_u = (np.sort(x @ w[:-1]) for x in (p_held, u_held))
+    cuts = np.quantile(of_p, np.linspace(0, 0.9, 91), method="lower")
+    shares = [1 - np.searchsorted(x, cuts) / len(x) for x in (of_u, of_p)]
+    chance = np.sqrt(np.log(40) / 2) * (1 / np.sqrt(len(of_u)) + 1 / np.sqrt(len(of_p)))
+    best = np.argmin((shares[0] + chance) / shares[1])
+    return float(np.clip(shares[0][best] / shares[1][best], 0.01, 0.99))
+
+
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at = 0
@@ -146,12 +181,9 @@ def train(
     """A model from rows (doc_id, text) and labels (doc_id, quality), both without held-out documents."""
     rows = rows.select("doc_id", "text")
     labels = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    known = labels.join(rows.select("doc_id"), "doc_id", "left_semi")
-    if prior is None:
-        n, ones = known.agg(F.count("*"), F.coalesce(F.sum("quality"), F.lit(0))).first()
-        prior = (ones + 1) / (n + 2)
-    positives = rows.join(known.filter(F.col("quality") == 1), "doc_id", "left_semi")
-    return fit(_sampled(positives, positive_rows), _sampled(rows, unlabelled_rows), min(max(prior, 0.01), 0.99))
+    positives = rows.join(labels.filter(F.col("quality") == 1), "doc_id", "left_semi")
+    p, u = _sampled(positives, positive_rows), _sampled(rows, unlabelled_rows)
+    return fit(p, u, min(max(estimate_prior(p, u) if prior is None else prior, 0.01), 0.99))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "quality_score") -> DataFrame:
