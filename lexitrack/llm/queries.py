@@ -149,5 +149,65 @@ QUERIES = {
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+_HARD_NEGATIVES = """WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, own, id AS positive_id, score AS positive_score FROM scores WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS "rank",
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND s.label <> p.own
+WHERE 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY "rank" <= 5"""
+
+
+def _sql_field(c: str) -> str:
+    return f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_sql_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+#: The unsigned crc32 of the decimal doc_id, bit by bit.
+_SQL_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(ch)::BIGINT FOR ch IN string_split(CAST(doc_id AS VARCHAR), '')]),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))), 4294967295)"""
+
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_MERKLE = f"""WITH RECURSIVE hashed AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {_sql_leaf('text')} AS leaf,
+    CASE WHEN {_SQL_CRC} % 5 = 0 THEN {_sql_leaf(_SMALL)} END AS changed FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+own AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS digest FROM leaves
+  UNION ALL SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM own WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+top AS (
+  SELECT -1::BIGINT AS tree, 0 AS level, tree AS pos, count(*) OVER () AS n, digest FROM own WHERE n = 1
+  UNION ALL SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM top WHERE n > 1 GROUP BY tree, level, pos // 16, n),
+up AS (
+  SELECT tree, level, pos, n, digest, list(digest) OVER (
+    PARTITION BY tree, level, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS run
+  FROM (SELECT * FROM own UNION ALL SELECT * FROM top)),
+climb AS (
+  SELECT tree AS tree0, pos AS pos0, tree, 0 AS level, pos, coalesce(changed, leaf) AS folded, '' AS siblings FROM leaves
+  UNION ALL SELECT tree0, pos0, CASE WHEN n > 1 THEN c.tree ELSE -1 END, CASE WHEN n > 1 THEN c.level + 1 ELSE 0 END,
+    CASE WHEN n > 1 THEN c.pos // 16 ELSE c.tree END,
+    CASE WHEN n > 1 THEN sha256(array_to_string(list_concat(run[1 : c.pos % 16], [folded], run[c.pos % 16 + 2 : 16]), '')) ELSE folded END,
+    CASE WHEN n > 1 THEN siblings || array_to_string(list_concat(run[1 : c.pos % 16], run[c.pos % 16 + 2 : 16]), '') ELSE siblings END
+  FROM climb c JOIN up ON c.tree = up.tree AND c.level = up.level AND c.pos = up.pos WHERE n > 1 OR c.tree >= 0)
+SELECT l.doc_id, l.leaf, s.digest AS subroot, r.digest AS root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+FROM climb c JOIN up r ON r.tree = -1 AND r.n = 1 AND c.tree = -1 AND c.level = r.level AND c.pos = r.pos
+JOIN leaves l ON l.tree = c.tree0 AND l.pos = c.pos0 JOIN own s ON s.tree = c.tree0 AND s.n = 1"""
+
 #: The operators that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_hard_negatives": _HARD_NEGATIVES, "op13_merkle_manifest": _MERKLE}
