@@ -19,9 +19,12 @@ def _same(rows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: null texts and texts without a letter go. The model learns from the rows themselves."""
+    """Documents in a language: null texts and texts without a letter go. The model learns from the rows themselves; where
+    no row has a language, nothing is known about any text, and all stay."""
     importable(spark)
     model = language_id.train(docs.filter(~held_out(F.col("doc_id"))))
+    if not model.languages:
+        return docs
     found = language_id.predict(docs, model, out="__language")
     return _same(found.filter(F.col("__language.lang") != language_id.UNKNOWN), docs)
 
