@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexitrack.llm.common import blocks, mix as _mix, word_hashes
+from lexitrack.llm.common import blocks, mix as _mix, tidy, word_hashes
 from lexitrack.session import shared_dir
 
 SHINGLE = 5
@@ -47,7 +47,7 @@ STAR = 64
 #: Keys in a bucket, about.
 BUCKET_KEYS = 250_000
 #: Up to so many ids are broadcast to pick texts; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 #: What names a row: its id, which may be null or repeated, and two hashes of its text.
 ROW = ["doc_id", "text_hash", "text_crc"]
 _BLOCK = 8 << 20
@@ -197,6 +197,7 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*batch.columns[1:], pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary())],
             names=[*ROW, "n_shingles", "node", "bits"],
         )
+    tidy()
 
 
 def _packer(buckets: int, level: int):
@@ -214,6 +215,7 @@ def _packer(buckets: int, level: int):
                     yield from _packed(held, buckets, level)
                     held, size = [], 0
         yield from _packed(held, buckets, level)
+        tidy()
 
     return pack
 
@@ -259,7 +261,10 @@ def _grouped(packed: pa.Table) -> pa.Table:
     names = np.add.reduceat(_mix(node.view(_U)), np.stack([starts, ends], 1).reshape(-1)[: None if ends[-1] < len(node) else -1])[::2]
     names, chosen = np.unique(_mix(names + (ends - starts).astype(_U)), return_index=True)
     members = [node[starts[i] : ends[i]] for i in chosen]
-    return pa.table([pa.array(names.view(np.int64)), pa.array(members, pa.list_(pa.int64()))], schema=_GROUP)
+    found = pa.table([pa.array(names.view(np.int64)), pa.array(members, pa.list_(pa.int64()))], schema=_GROUP)
+    del low, wide, key, node, order, kept, members
+    tidy()
+    return found
 
 
 def groups(texts: DataFrame, level: int, total_keys: int) -> DataFrame:

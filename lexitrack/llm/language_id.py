@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexitrack.llm.common import blocks, segment_sums
+from lexitrack.llm.common import blocks, segment_sums, tidy
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
@@ -151,6 +151,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array([lang] * len(full), pa.string()), pa.array(full, pa.int32()), pa.array(total[full], pa.int64())],
             names=["lang", "bucket", "n"],
         )
+    tidy()
 
 
 def train(rows: DataFrame, judged_rows: int = JUDGED_ROWS) -> Model:
@@ -223,5 +224,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text", out: str = "langu
                 [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(flags, pa.bool_())],
                 ["lang", "score", "ambiguous"],
             )
+        tidy()
 
     return docs.withColumn(out, F.arrow_udf(answers, _ANSWER).asNondeterministic()(F.col(text)))
