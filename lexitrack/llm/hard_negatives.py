@@ -89,7 +89,8 @@ def _spread(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
 
     found = rows.select("vector").mapInArrow(sums, "d int, n double, s double, q double")
     total = sorted(found.groupBy("d").agg(F.sum("n"), F.sum("s"), F.sum("q")).collect())
-    n, s, q = (np.array([max(r[k], float(k == 1)) if k == 1 else r[k] for r in total]) for k in (1, 2, 3))
+    n, s, q = (np.array([r[k] for r in total]) for k in (1, 2, 3))
+    n = np.maximum(n, 1)
     mean = s / n
     return mean, np.sqrt(np.maximum(q / n - mean * mean, 0))
 

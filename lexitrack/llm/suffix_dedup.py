@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexitrack.llm.common import BLOCK_BYTES, blocks, mix, raw
+from lexitrack.llm.common import BLOCK_BYTES, blocks, byte_codes, mix, power, raw, suffix_sums, tidy
 from lexitrack.operators.numbering import numbered, placed
 from lexitrack.session import remove, shared_dir
 
@@ -44,51 +43,6 @@ _NEAR = REACH + GRAM  # bytes behind an anchor that decide on it
 
 # Bytes
 
-_BASE = 0x9E3779B97F4A7C15
-_PIECE = 1 << 16  # bytes summed at once
-
-
-@cache
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes of bytes, and the powers of the base and of its inverse for one piece."""
-    powers = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        p = np.full(_PIECE + 1, base, np.uint64)
-        p[0] = 1
-        powers.append(np.cumprod(p, out=p))
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE)), *powers
-
-
-def _power(n: np.ndarray) -> np.ndarray:
-    """base^n."""
-    _, up, _ = _tables()
-    high = n // _PIECE
-    if not len(n) or not high.max():
-        return up[n]
-    big = np.array([pow(_BASE, _PIECE * k, 1 << 64) for k in range(int(high.max()) + 1)], np.uint64)
-    return up[n % _PIECE] * big[high]
-
-
-def suffix_sums(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """s(i) = sum over j >= i of code(j) * base^(j - i), modulo 2^64, at the ascending places ``at`` of up to len(data).
-
-    A substring's hash is s(start) - base^length * s(end). Pieces are summed from the end, so a very long text takes no
-    more memory than its places.
-    """
-    codes, up, down = _tables()
-    out = np.zeros(len(at), np.uint64)
-    carry = np.zeros(1, np.uint64)
-    for end in range(len(data), 0, -_PIECE):
-        start = max(0, end - _PIECE)
-        m = end - start
-        total = np.cumsum((codes[data[start:end]] * up[:m])[::-1])[::-1]
-        own = slice(*np.searchsorted(at, [start, end]))
-        k = at[own] - start
-        out[own] = total[k] * down[k] + carry * up[m - k]
-        carry = total[:1] + carry * up[m]
-    return out
-
-
 def anchors_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The anchors of the texts of a block: places whose 8 bytes hash below all up to REACH before, and to no more than
     all up to REACH behind, all of it inside the text."""
@@ -109,7 +63,7 @@ def _local_anchors(data: np.ndarray) -> np.ndarray:
     grams = np.zeros(n, np.uint64)
     for k in range(GRAM):
         grams |= data[k : k + n].astype(np.uint64) << np.uint64(8 * k)
-    hashes = mix(grams * np.uint64(_BASE))
+    hashes = mix(grams + np.uint64(1))
     least, width = hashes, 1
     while width < REACH:  # the least of REACH neighbours, by windows of doubled width
         least, width = np.minimum(least[:-width], least[width:]), width * 2
@@ -129,9 +83,9 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data, offsets = raw(texts)
             places = anchors_of(data, offsets)
             cuts = np.searchsorted(places, offsets)
-            sums = suffix_sums(data, places)
+            sums = suffix_sums(data, places, byte_codes())
             lengths = places[first:] - places[:-first] if len(places) > first else np.zeros(0, np.int64)
-            names = mix(sums[: len(lengths)] - _power(lengths) * sums[len(places) - len(lengths) :] + lengths.astype(np.uint64))
+            names = mix(sums[: len(lengths)] - power(lengths) * sums[len(places) - len(lengths) :] + lengths.astype(np.uint64))
             text = np.repeat(np.arange(len(texts)), np.diff(cuts))
             own = text[: len(lengths)] == text[len(places) - len(lengths) :]  # both ends in one text
             named = np.concatenate([[0], np.cumsum(np.bincount(text[: len(lengths)][own], minlength=len(texts)))])
@@ -141,6 +95,7 @@ def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows.column("doc_id"), rows.column("a"), rows.column("b"), pa.array(np.diff(offsets).astype(np.int32)),
                 _list(places - offsets[text], cuts, np.int32), _list(names[own].view(np.int64), named, np.int64),
             ], ["doc_id", "a", "b", "n_bytes", "places", "names"])
+    tidy()
 
 
 def _list(values: np.ndarray, offsets: np.ndarray, kind: type) -> pa.ListArray:
@@ -214,6 +169,29 @@ class _Texts:
                 level[at] = _flat(b.column(name))[0]
                 self.levels.append(level)
 
+    def near_repeats(self) -> np.ndarray:
+        """Anchors that bound the places of strings which can be repeated: those near a ranked anchor, and those where a
+        string holds few anchors. Behind a ranked anchor a string ends within as many anchors as fit in it."""
+        n, inside = len(self.places), LENGTH - REACH - _NEAR
+        few = LEVELS[0] + 1
+        marked = self.levels[0] >= 0
+        k = np.flatnonzero((self.text[few:] == self.text[:-few]) & (self.places[few:] - self.places[:-few] >= inside))
+        marked[(k[:, None] + np.arange(few + 1)).reshape(-1)] = True
+        count = np.diff(np.append(self.first, n))
+        some = np.arange(few)
+        sparse = np.flatnonzero(count < few)
+        marked[np.isin(self.text, sparse)] = True
+        full = np.flatnonzero(count >= few)
+        opens = full[self.places[self.first[full] + few - 1] - self.base[full] >= inside]
+        closes = full[self.end[full] + LENGTH - self.places[self.first[full] + count[full] - few] >= inside]
+        marked[(self.first[opens][:, None] + some).reshape(-1)] = True
+        marked[((self.first[closes] + count[closes])[:, None] - 1 - some).reshape(-1)] = True
+        change = np.zeros(n + 1, np.int64)
+        k = np.flatnonzero(marked)
+        np.add.at(change, np.maximum(k - 2, 0), 1)
+        np.add.at(change, np.minimum(k + LENGTH // REACH + 3, n), -1)
+        return np.flatnonzero(np.cumsum(change[:n]) > 0)
+
     def at(self, idx: pa.Array) -> np.ndarray:
         """The anchors of a list column of numbers in their text."""
         values, count = _flat(idx)
@@ -250,19 +228,22 @@ def _covers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["text", "idx", *_KIND])
 
 
-_RANGED = "text long, start int, end int, rank long, open boolean"
+_RANGED = "text long, start int, end int, ahead int, rank long, last long, open boolean"
 
 
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """start, end, rank, open of the places whose string can be repeated: with few anchors inside (rank -1), or where the
-    anchors inside occur elsewhere. Not open are those of a settled interval that stands for its kind."""
+    """Places whose string can be repeated: with few anchors inside (rank -1), or where the anchors inside occur elsewhere.
+
+    ``rank`` and ``last`` are the ranks of the first and last three intervals inside, ``ahead`` the bytes from the start to
+    the first anchor; equal strings agree in all three. Not open are places of a settled interval that stands for its kind."""
     for b in batches:
         t = _Texts(b)
         state = np.zeros(len(t.places), np.int8)  # of the interval behind an anchor
         state[t.at(b.column("settled"))] = 1 + _flat(b.column("stands"))[0].astype(np.int8)
         # Cut where the interval, the first anchor inside a string or the last one changes.
-        lo, hi = t.base[t.text], t.end[t.text]
-        cuts = [t.base, t.end, *(np.clip(t.places + move, lo, hi) for move in (0, 1 - REACH, _NEAR - LENGTH))]
+        near = t.near_repeats()
+        lo, hi, places = t.base[t.text[near]], t.end[t.text[near]], t.places[near]
+        cuts = [t.base, t.end, *(np.clip(places + move, lo, hi) for move in (0, 1 - REACH, _NEAR - LENGTH))]
         cuts = np.unique(np.concatenate(cuts))
         start, end = cuts[:-1], cuts[1:]
         text = np.searchsorted(t.base, start, side="right") - 1
@@ -271,13 +252,14 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.searchsorted(t.places, start + REACH)
         final = np.searchsorted(t.places, start + LENGTH - _NEAR, side="right") - 1
         size = final - first
-        rank = np.full(len(start), -2, np.int64)
+        rank, last, ahead = np.full(len(start), -2, np.int64), np.full(len(start), -1, np.int64), np.zeros(len(start), np.int64)
         rank[size < LEVELS[0]] = -1
         for k, (w, level) in enumerate(zip(LEVELS, t.levels, strict=True)):
             most = LEVELS[k + 1] if k + 1 < len(LEVELS) else 1 << 60
             fits = np.flatnonzero((size >= w) & (size < most))
             fits = fits[(level[first[fits]] >= 0) & (level[final[fits] - w] >= 0)]
-            rank[fits] = t.levels[0][first[fits]]
+            rank[fits], last[fits] = t.levels[0][first[fits]], t.levels[0][final[fits] - LEVELS[0]]
+            ahead[fits] = t.places[first[fits]] - start[fits]
         before = np.searchsorted(t.places, start, side="right") - 1
         found = np.zeros(len(start), np.int8)
         inside = np.flatnonzero(before >= 0)
@@ -287,17 +269,19 @@ def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = text[kept]
         texts = b.column("text").to_numpy(zero_copy_only=False)
         columns = [
-            texts[text], (start[kept] - t.base[text]).astype(np.int32), (end[kept] - t.base[text]).astype(np.int32), rank[kept], found[kept] == 0,
+            texts[text], (start[kept] - t.base[text]).astype(np.int32), (end[kept] - t.base[text]).astype(np.int32),
+            ahead[kept].astype(np.int32), rank[kept], last[kept], found[kept] == 0,
         ]
-        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["text", "start", "end", "rank", "open"])
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["text", "start", "end", "ahead", "rank", "last", "open"])
 
 
-_HASHED = "text long, at int, rank long, whole long, half long"
+_HASHED = "text long, at int, to int, rank long, whole long, half long"
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hashes of the strings at all places of a text's ranges."""
-    powers = _power(np.array([LENGTH, LENGTH // 2]))
+    """The hashes of the strings at all places of a text's ranges. Of those that repeat right here only one goes on; the
+    places of all of them are known to be repeated and come out as intervals, without hashes."""
+    powers = power(np.array([LENGTH, LENGTH // 2]))
     for batch in batches:
         sizes = np.cumsum(pc.binary_length(batch.column("bytes")).to_numpy(zero_copy_only=False).astype(np.int64))
         row = 0
@@ -317,13 +301,32 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = size[part]
                 at = np.repeat(begin[part] - np.cumsum(own) + own, own) + np.arange(own.sum())
                 asked, back = np.unique(np.concatenate([at, at + LENGTH, at + LENGTH // 2]), return_inverse=True)
-                here, behind, middle = suffix_sums(data, asked)[back].reshape(3, -1)
+                here, behind, middle = suffix_sums(data, asked, byte_codes())[back].reshape(3, -1)
                 whole, half = mix(here - powers[0] * behind).view(np.int64), mix(here - powers[1] * middle).view(np.int64)
-                of = np.repeat(text[part], own)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(texts[of]), pa.array((at - base[of]).astype(np.int32)), pa.array(np.repeat(rank[part], own)),
-                    pa.array(whole), pa.array(half),
-                ], ["text", "at", "rank", "whole", "half"])
+                of, ranks = np.repeat(text[part], own), np.repeat(rank[part], own)
+                order = np.lexsort((at, half, whole, ranks))
+                same = np.all([v[order][1:] == v[order][:-1] for v in (ranks, whole, half)], axis=0)
+                again = np.zeros(len(at), bool)  # like the one before it, in order
+                again[order[1:]] = same
+                known = again.copy()
+                known[order[:-1]] |= same
+                names = ["text", "at", "to", "rank", "whole", "half"]
+                one = np.flatnonzero(~again)
+                place = (at - base[of])[one].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    list(map(pa.array, (texts[of[one]], place, place + 1, ranks[one], whole[one], half[one]))), names
+                )
+                k = np.flatnonzero(known)
+                if len(k):
+                    # Texts stand LENGTH bytes apart, so intervals of two never touch.
+                    lo, hi = merged(at[k] + LENGTH * of[k], at[k] + LENGTH * of[k] + 1)
+                    in_text = np.searchsorted(base + LENGTH * np.arange(len(base)), lo, side="right") - 1
+                    shift = base[in_text] + LENGTH * in_text
+                    none = pa.nulls(len(lo), pa.int64())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(texts[in_text]), pa.array((lo - shift).astype(np.int32)), pa.array((hi - shift).astype(np.int32)), none, none, none,
+                    ], names)
+    tidy()
 
 
 # The operator
@@ -385,8 +388,15 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
         forget("covers")
 
         ranges = stored(state.join(settled, "text", "left").mapInArrow(_possible, _RANGED), "ranges")
-        asked = ranges.filter("open").select("rank").distinct()
-        needed = ranges.filter("open").unionByName(ranges.filter("NOT open").join(asked, "rank", "left_semi").select(*ranges.columns))
+        # Of the places that stand for others those with the ranks and distances that an open one has.
+        open_, ends = ranges.filter("open"), ["rank", "last"]
+        nearest, farthest = F.min(F.col("ahead") - F.col("end") + F.col("start") + 1), F.max("ahead")
+        asked = open_.groupBy(*ends).agg(nearest.alias("lo"), farthest.alias("hi"))
+        standing = ranges.filter("NOT open").join(asked, ends).select(
+            "text", F.greatest("start", F.col("start") + F.col("ahead") - F.col("hi")).alias("start"),
+            F.least("end", F.col("start") + F.col("ahead") - F.col("lo") + 1).alias("end"), "rank",
+        ).filter("start < end")
+        needed = open_.select("text", "start", "end", "rank").unionByName(standing)
         needed = needed.groupBy("text").agg(F.collect_list(F.struct("start", "end", "rank")).alias("s"))
         named = texts.select("text", F.col("doc_id").alias("id"), "a", "b").join(needed, "text")
         own = long_enough.select(
@@ -398,8 +408,11 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
         forget("ranges")
         key = ["rank", "whole", "half"]
         # Least and greatest place, for a repeated row of documents hashes its places again.
-        hit = strings.groupBy(*key).agg(F.min(_one("at")).alias("lo"), F.max(_one("at")).alias("hi")).filter("lo < hi")
-        hits = strings.join(hit.select(*key), key).groupBy("text").agg(F.collect_list("at").alias("hits"))
+        hashed = strings.filter("whole IS NOT NULL")
+        hit = hashed.groupBy(*key).agg(F.min(_one("at")).alias("lo"), F.max(_one("at")).alias("hi")).filter("lo < hi")
+        hits = hashed.join(stored(hit.select(*key), "hit"), key).select("text", "at", "to").unionByName(
+            strings.filter("whole IS NULL").select("text", "at", "to")
+        ).groupBy("text").agg(F.collect_list(F.struct("at", "to")).alias("s")).select("text", F.col("s.at").alias("hits"), "s.to")
         starts = (
             state.select("text", "n_bytes", "places").join(settled, "text", "left").join(hits, "text", "left")
             .filter("hits IS NOT NULL OR settled IS NOT NULL")
@@ -407,7 +420,7 @@ def repeats(docs: DataFrame, folder: str | None = None) -> DataFrame:
         )
         found = texts.select("text", "a", "b", "copies").join(starts, "text", "left")
         found = stored(found.filter("copies > 1 OR starts IS NOT NULL").drop("text"), "found")
-        forget("texts", "state", "settled", "strings")
+        forget("texts", "state", "settled", "strings", "hit")
         return found
 
 
@@ -424,9 +437,9 @@ def _intervals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         t = _Texts(b)
         k = t.at(b.column("settled"))
-        single, count = _flat(b.column("hits"))
-        single = single.astype(np.int64) + np.repeat(t.base, count)
-        lo, hi = merged(np.concatenate([t.places[k], single]), np.concatenate([t.places[k + 1], single + 1]))
+        (at, count), (to, _) = _flat(b.column("hits")), _flat(b.column("to"))
+        base = np.repeat(t.base, count)
+        lo, hi = merged(np.concatenate([t.places[k], at + base]), np.concatenate([t.places[k + 1], to + base]))
         text = np.searchsorted(t.base, lo, side="right") - 1
         bounds = [pa.array((v - t.base[text]).astype(np.int32)) for v in (lo, hi)]
         offsets = np.searchsorted(text, np.arange(len(b) + 1))
