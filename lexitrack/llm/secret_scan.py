@@ -67,6 +67,8 @@ _ABOUT = {"url", "uri", "path", "file", "name", "id", "type", "count", "length",
           "expires", "expiry", "public", "policy", "regex", "pattern", "test", "example", "endpoint"}
 _DULL = re.compile(r"(?i)example|changeme|change_me|placeholder|your[_-]?|dummy|redacted|\$\{|<|%\(|^(?:none|null|true|false|undefined)$").search
 _FULL_BITS = 32  # of character entropy
+_PIECE = 4096
+_NAME_CHARS = 256
 
 
 def sensitivity(name: str) -> float:
@@ -99,6 +101,11 @@ class Judged:
         return max(self.best, min(1.0, bits / _FULL_BITS) * (0.5 if few else 1.0))
 
     def _line(self, text: str) -> Judged:
+        if len(text) > _PIECE:  # a long value is judged by pieces, until nothing more can raise it
+            out, at = self, 0
+            while at < len(text) and not (out.full and (out.kinds & 7).bit_count() > 1):
+                out, at = out._line(text[at : at + _PIECE]), at + _PIECE
+            return out
         kinds = self.kinds | any(map(str.islower, text)) | any(map(str.isupper, text)) << 1 | any(map(str.isdigit, text)) << 2 | (" " in text) << 3
         return self._with(Counter(text), False, kinds, bool(_DULL(text)), 0.0)
 
@@ -132,12 +139,18 @@ def randomness(value: str) -> float:
 class Value:
     """What a name was given: literals of its own, and values of other names, which it shares instead of copying."""
 
-    __slots__ = ("literals", "parts", "judged", "score")
+    __slots__ = ("terms", "asked", "judged", "score")
 
     def __init__(self):
-        self.literals: list[tuple[int, int]] = []
-        self.parts: list[Value] = []
-        self.judged, self.score = Judged(Counter()), 0.0
+        self.terms: list[tuple[int, int] | Value] = []
+        self.asked, self.judged, self.score = False, Judged(Counter()), 0.0
+
+    def parts(self) -> list[Value]:
+        return [t for t in self.terms if isinstance(t, Value)]
+
+    def judge(self, text: str) -> None:
+        for t in self.terms:
+            self.judged = self.judged.joined(t.judged) if isinstance(t, Value) else self.judged.plus(text[t[0] : t[1]])
 
 
 def _block_end(text: str, at: int, indent: str) -> int:
@@ -204,15 +217,14 @@ def literals(text: str) -> list[tuple[int, int, float]]:
         def resolve(terms: list[tuple[int, int, bool]], known: dict[str, Value], other: dict[str, Value]) -> Value:
             out = Value()
             for a, b, bare in terms:
-                value = text[a:b]
+                bare = bare and b - a <= _NAME_CHARS  # longer ones name nothing
+                value = text[a:b] if bare else ""
                 of = (known.get(value) or other.get(value)) if bare else None
                 if of is not None:
-                    if all(of is not p for p in out.parts):
-                        out.parts.append(of)
-                        out.judged = out.judged.joined(of.judged)
+                    if all(of is not t for t in out.terms):
+                        out.terms.append(of)
                 elif a < b and not (bare and len(terms) > 1 and _NAME(value)):
-                    out.literals.append((a, b))
-                    out.judged = out.judged.plus(value)
+                    out.terms.append((a, b))
             made.append(out)
             return out
 
@@ -225,16 +237,27 @@ def literals(text: str) -> list[tuple[int, int, float]]:
                 constants[name] = resolve(terms, constants, defined)
                 last.append((name, constants[name]))
             defined = constants
-        for name, value in last:
-            if score := sensitivity(name):
-                value.score = max(value.score, score * value.judged.score())
-        # A value is made of earlier ones only, so from the last to the first each has its score before it hands it on.
+        scores = [(value, score) for name, value in last if (score := sensitivity(name))]
+        for value, _ in scores:
+            value.asked = True
+        # A value is made of earlier ones only: what a sensitive name needs is found from the last to the first, judged from
+        # the first to the last, and handed on from the last to the first again.
+        for value in reversed(made):
+            if value.asked:
+                for part in value.parts():
+                    part.asked = True
+        for value in made:
+            if value.asked:
+                value.judge(text)
+        for value, score in scores:
+            value.score = max(value.score, score * value.judged.score())
         for value in reversed(made):
             if value.score >= MIN_SCORE:
-                for span in value.literals:
-                    put(span, value.score)
-                for part in value.parts:
-                    part.score = max(part.score, value.score)
+                for t in value.terms:
+                    if isinstance(t, Value):
+                        t.score = max(t.score, value.score)
+                    else:
+                        put(t, value.score)
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
             found[m.span()] = 1.0
