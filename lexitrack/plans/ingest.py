@@ -26,6 +26,11 @@ def lemma_forms(tokens: DataFrame) -> DataFrame:
     return tokens.filter(F.col("form").isNotNull() & (F.col("form") != "")).select("word", "form").distinct()
 
 
+def forms_of_words(forms: DataFrame) -> DataFrame:
+    """One row per word: its distinct forms as a sorted array."""
+    return forms.groupBy("word").agg(F.array_sort(F.collect_set("form")).alias("forms"))
+
+
 #: Copies of a word's forms, each for a share of the word's sheet rows.
 SALTS = 16
 #: A word with more forms than this has them dealt out without copies: its sheet rows are few by comparison.

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as e
 from lexitrack.functions import text
 from lexitrack.functions.conjugation import FIRST
 from lexitrack.functions.enrich import difficulty, lecture_day, lecture_week, word_type
@@ -267,6 +268,12 @@ def test_lemma_forms(frame):
     assert sorted(tuple(r) for r in forms.collect()) == [("a", "x"), ("a", "y")]
 
 
+def test_lemma_forms_query_gathers_the_forms_of_a_word(spark, tmp_path):
+    spark.range(30).select(F.col("id").alias("doc_id")).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {r["word"]: r["forms"] for r in e.lemma_forms(spark, str(tmp_path)).collect()}
+    assert len(rows) == 24 and rows["足掻く"] == "足掻いて|足掻いてと|足掻く"
+
+
 def test_created_at_has_no_zone(spark, sheet_path):
     words = ingest.ingest(sheets.load_levels(spark, {"N1": sheet_path}), schedule_dim(spark))
     assert dict(words.dtypes)["created_at"] == "timestamp_ntz"
