@@ -28,12 +28,32 @@ def every_line(lines: pa.Array) -> np.ndarray:
     return np.ones(len(lines), bool)
 
 
+#: Bytes of text that a task works on at once.
+SLICE_BYTES = 1 << 20
+
+
+def slicer(limit: int = SLICE_BYTES) -> Callable[[pa.RecordBatch, str], Iterator[pa.RecordBatch]]:
+    """A function for tasks: slices of a batch with about ``limit`` bytes of a text column, at least one row each."""
+
+    def slices(b: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(name)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(b):
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + limit, side="right")))
+            yield b.slice(at, to - at)
+            at = to
+
+    return slices
+
+
 def _scanner(quote: str | None, comment: str | None, begins: Begins):
     """Functions that run in tasks. They are closures, so that a task needs nothing but numpy and pyarrow."""
+    slices = slicer()
 
     def split_by(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.Array]]:
         """Runs of lines of one split, in order."""
-        for b in batches:
+        for b in (own for whole in batches for own in slices(whole, "value")):
             file, start = (b.column(c).to_numpy(zero_copy_only=False) for c in ("file", "start"))
             new = np.flatnonzero((file[1:] != file[:-1]) | (start[1:] != start[:-1])) + 1
             cuts = [0, *new.tolist(), len(file)]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexitrack.functions.text import let, sql_number, sql_quote, strip, to_int, zero_to_null
-from lexitrack.sources.records import records
+from lexitrack.sources.records import records, slicer
 
 _TEXTS = ["kanji", "hiragana", "meaning_en", "example_before", "example_after", "hint", "full_sentence"]
 FIELDS = ["level", "ref_no", *_TEXTS, "page_no", "schedule", "word_type", "difficulty_level"]
@@ -74,20 +74,21 @@ def write_script(words: DataFrame, path: str, with_level: bool = True) -> None:
         F.coalesce("level", F.lit("")), F.coalesce("ref_no", F.lit(0)),
         F.xxhash64("kanji", "hiragana", "meaning_en", "hint", "full_sentence"),
     ]
-    head = _HEAD.format(columns=columns)
+    head, slices = _HEAD.format(columns=columns), slicer()
 
     def with_commas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One range of the sort: a comma behind every tuple but its last, and one in front of its first. The first range,
         which is never empty, begins with the head instead."""
         waiting = None
         for b in batches:
-            texts = b.column("value").to_pylist()
-            if waiting is None:
-                texts[0] = f"{head}\n{texts[0]}" if b.column("first")[0].as_py() else f",\n{texts[0]}"
-            else:
-                texts.insert(0, waiting)
-            waiting = texts.pop()
-            yield pa.RecordBatch.from_arrays([pa.array([f"{t}," for t in texts], pa.string())], ["value"])
+            for own in slices(b, "value"):
+                texts = own.column("value").to_pylist()
+                if waiting is None:
+                    texts[0] = f"{head}\n{texts[0]}" if own.column("first")[0].as_py() else f",\n{texts[0]}"
+                else:
+                    texts.insert(0, waiting)
+                waiting = texts.pop()
+                yield pa.RecordBatch.from_arrays([pa.array([f"{t}," for t in texts], pa.string())], ["value"])
         if waiting is not None:
             yield pa.RecordBatch.from_arrays([pa.array([waiting], pa.string())], ["value"])
 

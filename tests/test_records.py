@@ -5,11 +5,12 @@ import io
 import random
 from contextlib import contextmanager
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lexitrack.sources import scripts, sheets
-from lexitrack.sources.records import records
+from lexitrack.sources.records import SLICE_BYTES, _scanner, records
 from test_ingest import SCRIPT_SCHEMA
 
 
@@ -147,3 +148,23 @@ def test_records_are_numbered_by_file(spark, tmp_path):
     (tmp_path / "b").mkdir()
     (tmp_path / "b" / "empty.csv").write_text("")
     assert records(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_a_task_works_on_a_slice_of_its_lines_at_once():
+    _, cutter = _scanner("'", "--", scripts.begins_record)
+    texts = [f"    ('N1', {i}, '{'語' * 3000}\n    (''x''')," for i in range(1000)]
+    lines = [line for t in texts for line in t.split("\n")]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array([1] * len(lines), pa.int64()), pa.array([0] * len(lines), pa.int64()), pa.array(lines)], ["file", "start", "value"])
+    out = list(cutter(lambda split: (0, 0), True)(iter([whole])))
+    assert [r for b in out for r in b.column("record").to_pylist()] == texts
+    assert [n for b in out for n in b.column("number").to_pylist()] == list(range(1000))
+    assert max(b.nbytes for b in out) < 2 * SLICE_BYTES < whole.nbytes / 4
+
+
+def test_script_of_long_texts_is_written_by_slices(spark, frame, tmp_path):
+    long = "it's 語,\n" * (SLICE_BYTES // 40)
+    rows = [("N1", i, f"語{i}", "a", "b", None, long, None, long * (1 + i % 3), 7, 3, 4, "verb", 1) for i in range(1, 60)]
+    scripts.write_script(frame(SCRIPT_SCHEMA, rows, 1).coalesce(1), str(tmp_path / "s"))
+    got = scripts.read_script(spark, str(tmp_path / "s"))
+    assert sorted(repr(tuple(r)) for r in got.collect()) == expected(rows)
