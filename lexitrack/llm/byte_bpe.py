@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexitrack.llm.common import (
-    SliceCache, binary_array, blocks, code_points, ragged_take, raw, tokenizer_path,
+    SliceCache, binary_array, blocks, code_points, ragged_take, raw, tidy, tokenizer_path,
 )
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -50,6 +50,8 @@ _IDENTITY = 2 * FIRST
 # States: a slice has just ended, or which slice is open.
 END, LETTERS, NUMBERS, OTHERS, BLANK, APOSTROPHE, PAIR, SPACES = range(8)
 _ROW = 64
+#: Texts, and bytes of text, that are encoded at once; their ids go on before the next ones.
+_TEXTS, _BLOCK = 1 << 10, 1 << 20
 
 
 @cache
@@ -273,17 +275,22 @@ def decode(ids: np.ndarray, offsets: np.ndarray, path: str) -> tuple[np.ndarray,
     return data, at[offsets]
 
 
+def id_lists(batches: Iterator[pa.Array], path: str) -> Iterator[pa.Array]:
+    """The ids of every text, block by block: no batch's ids are held together."""
+    for batch in batches:
+        for begin in range(0, len(batch), _TEXTS):
+            for block in blocks(batch.slice(begin, _TEXTS), _BLOCK):
+                ids, at, _, _ = encode_block(block, path)
+                yield pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32)))
+        tidy()
+
+
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", out: str = "ids") -> DataFrame:
     """The rows with ``out``: array of ids of the text. A column of that name is replaced."""
     path = path or tokenizer_path(VOCABULARY)
 
     def arrays(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            parts = []
-            for block in blocks(batch):
-                ids, at, _, _ = encode_block(block, path)
-                parts.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids.astype(np.int32))))
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+        yield from id_lists(texts, path)
 
     return docs.withColumn(out, F.arrow_udf(arrays, "array<int>").asNondeterministic()(F.col(text)))
 

@@ -305,6 +305,17 @@ def test_byte_bpe(docs, empty):
     assert byte_bpe.encode(empty).count() == 0
 
 
+def test_byte_bpe_passes_ids_on_by_blocks():
+    path = tokenizer_path(byte_bpe.VOCABULARY)
+    texts = [None, "", *(f"{'word é ' * (i % 900)}{i}" for i in range(4000)), "long " * 400_000]
+    parts = list(byte_bpe.id_lists(iter([pa.array(texts)]), path))
+    whole, at, _, _ = byte_bpe.encode_block(next(blocks(pa.array(texts), 1 << 40)), path)
+    assert max(map(len, parts)) <= 1024 and len(parts) > 10
+    assert sum(map(len, parts)) == len(texts)
+    assert np.array_equal(np.concatenate([p.flatten().to_numpy() for p in parts]), whole.astype(np.int32))
+    assert np.array_equal(np.concatenate([p.value_lengths().to_numpy() for p in parts]), np.diff(at))
+
+
 def test_classes_equal_the_library():
     """Slices of every awkward mixture, in blocks of several sizes, begin where the pattern's matches do."""
     import public_tokenizers
