@@ -88,6 +88,50 @@ def test_periodic_texts_have_no_anchors(spark):
     assert got == want
 
 
+def odd_words(pick, word, n, every):
+    """A word again and again, one letter in ``every`` another one: few anchors, or none for a while."""
+    return "".join(pick.choice("qvxz") if pick.randrange(every) == 0 else word[k % len(word)] for k in range(n))
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_parts_of_nearly_periodic_texts(spark, seed):
+    """Parts of all lengths near the limit, moved by any number of bytes, between others and next to prose."""
+    pick = random.Random(seed)
+    whole = [odd_words(pick, w, 2500, every) for w, every in (("handti ", 90), ("wh ", 150), ("ab", 40), ("keitschver ", 200), ("é中 ", 60))]
+    rows = [(i, t) for i, t in enumerate(whole)]
+    for i in range(50):
+        parts = []
+        for _ in range(pick.randint(1, 3)):
+            t = pick.choice(whole)
+            at = pick.randrange(len(t) - 700)
+            parts += [t[at : at + pick.choice([300, 380, 398, 399, 400, 401, 402, 416, 450, 700])], prose(pick, pick.choice([0, 1, 5, 60]))]
+        rows.append((100 + i, "".join(parts)))
+    got, want = deduped(spark, rows)
+    assert got == want
+
+
+def test_places_are_looked_for_by_cells(spark, tmp_path, monkeypatch):
+    """Strings without anchors that occur once, of which few may be stored and shuffled place by place."""
+    pick = random.Random(3)
+    texts = [odd_words(pick, prose(pick, 9) + " ", 4000, 70) for _ in range(20)]
+    monkeypatch.setattr(suffix_dedup, "remove", lambda *a: None)
+    common.importable(spark)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert suffix_dedup.repeats(docs, f"{tmp_path}/steps").count() <= len(texts)
+    bare = spark.read.parquet(f"{tmp_path}/steps/ranges").filter("rank < 0").select(F.sum(F.col("end") - F.col("start"))).first()[0]
+    assert bare > 4 * spark.read.parquet(f"{tmp_path}/steps/strings").count() > 0
+
+
+def test_least_place_is_the_first_of_its_window():
+    pick = np.random.default_rng(4)
+    data = np.concatenate([pick.integers(97, 99, 900), np.tile([97, 98, 99], 200)]).astype(np.uint8)
+    grams = [int.from_bytes(data[k : k + suffix_dedup.GRAM].tobytes(), "little") for k in range(len(data) - suffix_dedup.GRAM + 1)]
+    hashes = common.mix(np.array(grams, np.uint64) + np.uint64(1)).tolist()
+    begin, size = np.array([5, 800, 1100]), np.array([300, 250, 1])
+    want = [min(range(k, k + suffix_dedup.WINDOW), key=lambda j: (hashes[j], j)) for b, n in zip(begin, size, strict=True) for k in range(b, b + n)]
+    assert suffix_dedup._least(data, begin, size).tolist() == want
+
+
 def test_nothing_to_dedup(spark, empty):
     assert suffix_dedup.dedup(empty).count() == 0
     kept = suffix_dedup.cut(spark.createDataFrame([(7, "short"), (8, None)], "doc_id long, text string")).collect()
